@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from spanlake.llm import byte_bpe, packing, token_store
+from spanlake.llm import ann, byte_bpe, near_vectors, packing, token_store
 from spanlake.llm.scratch import fresh_path
 
 
@@ -15,6 +16,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors of every vector whose id is divisible by 50, among all others."""
+    return ann.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the bit-packed store in the shared folder and read every document's ids back."""
     path = fresh_path(spark, "tokens")
@@ -22,6 +28,10 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.document_digests(spark, path)
 
 
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.93)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end=1, length=2048)
 
@@ -31,7 +41,9 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nearest": op1_nearest,
     "op2_token_store": op2_token_store,
+    "op7_near_vectors": op7_near_vectors,
     "op8_packing": op8_packing,
     "op10_byte_bpe": op10_byte_bpe,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlake.llm import ann, byte_bpe, near_vectors, packing, token_store
+from spanlake.llm import ann, byte_bpe, jaccard_join, near_vectors, packing, token_store
 from spanlake.llm.scratch import fresh_path
 
 
@@ -28,6 +28,10 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.document_digests(spark, path)
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(_documents(spark, sf_dir), k=3, percent=90)
+
+
 def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.93)
 
@@ -43,6 +47,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest": op1_nearest,
     "op2_token_store": op2_token_store,
+    "op4_jaccard_join": op4_jaccard_join,
     "op7_near_vectors": op7_near_vectors,
     "op8_packing": op8_packing,
     "op10_byte_bpe": op10_byte_bpe,

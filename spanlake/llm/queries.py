@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlake.llm import ann, byte_bpe, jaccard_join, near_vectors, packing, token_store
+from spanlake.llm import ann, byte_bpe, jaccard_join, line_dedup, near_vectors, packing, private, token_store
 from spanlake.llm.scratch import fresh_path
 
 
@@ -32,6 +32,11 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_documents(spark, sf_dir), k=3, percent=90)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.dedup_lines(_documents(spark, sf_dir), lines=2)
+    return cleaned.select("doc_id", "n_lines", "n_deleted", F.md5("text").alias("text_md5"))
+
+
 def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.93)
 
@@ -40,6 +45,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end=1, length=2048)
 
 
+def op9_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, the text with pseudonyms, and how many of each kind; in production the key comes from a secret store."""
+    return private.pseudonymise(_documents(spark, sf_dir).select("doc_id", "text"), key=b"spanlake demonstration key")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -48,8 +58,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest": op1_nearest,
     "op2_token_store": op2_token_store,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_line_dedup": op5_line_dedup,
     "op7_near_vectors": op7_near_vectors,
     "op8_packing": op8_packing,
+    "op9_private": op9_private,
     "op10_byte_bpe": op10_byte_bpe,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_line_dedup": line_dedup.ORACLE}

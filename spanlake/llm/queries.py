@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlake.llm import ann, byte_bpe, jaccard_join, line_dedup, near_vectors, packing, private, token_store
+from spanlake.llm import ann, byte_bpe, jaccard_join, line_dedup, near_vectors, packing, private, token_store, toxicity
 from spanlake.llm.scratch import fresh_path
 
 
@@ -37,6 +37,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_deleted", F.md5("text").alias("text_md5"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, severity, grade, toxic of every document, by a model fitted on a bounded sample of `labels`."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))).drop("text")
+
+
 def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.93)
 
@@ -59,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_store": op2_token_store,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_line_dedup": op5_line_dedup,
+    "op6_toxicity": op6_toxicity,
     "op7_near_vectors": op7_near_vectors,
     "op8_packing": op8_packing,
     "op9_private": op9_private,

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlake.llm import ann, byte_bpe, jaccard_join, line_dedup, near_vectors, packing, private, token_store, toxicity
+from spanlake.llm import ann, byte_bpe, jaccard_join, line_dedup, near_vectors, packing, passages, private, token_store, toxicity
 from spanlake.llm.scratch import fresh_path
 
 
@@ -28,6 +28,10 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.document_digests(spark, path)
 
 
+def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(_documents(spark, sf_dir))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_documents(spark, sf_dir), k=3, percent=90)
 
@@ -60,9 +64,16 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest": op1_nearest,
     "op2_token_store": op2_token_store,
+    "op3_passages": op3_passages,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_line_dedup": op5_line_dedup,
     "op6_toxicity": op6_toxicity,
@@ -70,5 +81,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_private": op9_private,
     "op10_byte_bpe": op10_byte_bpe,
+    "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {"op5_line_dedup": line_dedup.ORACLE}

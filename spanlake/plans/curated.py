@@ -25,10 +25,10 @@ def session_summary(sessions: DataFrame, pulses: DataFrame) -> DataFrame:
     return out.select(*LOAD, "client_id", "has_native_client_id", "ua", "origin", "origin_kind", "origin_may_publish", "duration_s", "beats", "alarms", "errors", "kills", "hp_first", "hp_min", "hp_last", "final_state", "states_visited", "outcome")
 
 
-def percentiles(rows: DataFrame, by: str, value: str, accuracy: int | None = None) -> DataFrame:
+def percentiles(rows: DataFrame, by: str, value: str, accuracy: int | None = None, digits: int = 3) -> DataFrame:
     """samples, p50 and p95 of value; exact and interpolated, or approximate with `accuracy` where groups are huge."""
     q = F.percentile(value, [0.5, 0.95]) if accuracy is None else F.percentile_approx(value, [0.5, 0.95], accuracy)
-    return rows.groupBy(by).agg(F.count("*").alias("samples"), q.alias("__q"), F.max(value).alias("largest")).select(by, "samples", F.round(F.col("__q")[0], 3).alias("p50"), F.round(F.col("__q")[1], 3).alias("p95"), "largest")
+    return rows.groupBy(by).agg(F.count("*").alias("samples"), q.alias("__q"), F.max(value).alias("largest")).select(by, "samples", F.round(F.col("__q")[0], digits).alias("p50"), F.round(F.col("__q")[1], digits).alias("p95"), "largest")
 
 
 def frame_time_by_span(spans: DataFrame, accuracy: int | None = None) -> DataFrame:

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from spanlake.functions import expr
 from spanlake.operators import joins, quality, windows
-from spanlake.plans import consumers, curated, gold
-from spanlake.plans.typed import TRACE_LINE, unpivoted
+from spanlake.plans import consumers, curated, export, gold
+from spanlake.plans.typed import TRACE_LINE, rule, unpivoted
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -511,3 +511,55 @@ def conservation(spark, sf_dir):
     parts = lines.select(F.col("l_orderkey").alias("o_orderkey"), F.lit(1).cast("long").alias("one"))
     whole = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_linenumber").cast("long").alias("most"))
     return quality.conservation(parts, whole, ["o_orderkey"], "one", "most")
+
+
+# export
+
+
+@query("""SELECT o_orderkey, '[{"key":"order.id","value":{"intValue":"' || o_orderkey || '"}},' || CASE WHEN o_orderstatus = 'F' THEN '' ELSE '{"key":"status","value":{"stringValue":"' || o_orderstatus || '"}},' END
+    || '{"key":"large","value":{"boolValue":' || CASE WHEN o_totalprice > 100000 THEN 'true' ELSE 'false' END || '}}]' AS attributes FROM orders""")
+def attribute_lists(spark, sf_dir):
+    made = expr.attributes(order__id=(F.col("o_orderkey"), "int"), status=(F.nullif(F.col("o_orderstatus"), F.lit("F")), "string"), large=(F.col("o_totalprice") > 100000, "bool"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.to_json(made).alias("attributes"))
+
+
+@query("""SELECT count(*) AS records, CAST(sum(strlen('{"id":' || event_id || ',"kind":"' || event_type || '"}') + 1) AS BIGINT) AS bytes, true AS all_fit FROM events""")
+def export_batches(spark, sf_dir):
+    """Every record is in one batch, and no batch exceeds the limit."""
+    rows = log(spark, sf_dir).select(F.col("srv").alias("at_ms"), F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("kind"))).alias("json"))
+    sized = export.batched(rows, most=20_000, parts=4).groupBy("part", "batch").agg(F.count("*").alias("n"), F.sum("bytes").alias("b"))
+    return sized.agg(F.sum("n").alias("records"), F.sum("b").alias("bytes"), (F.max("b") <= 20_000).alias("all_fit"))
+
+
+@query("SELECT event_id FROM events WHERE epoch_us(ts) // 1000 > (SELECT max(epoch_us(ts) // 1000) FROM events WHERE event_type = 'signup' AND event_id % 2 = 0)")
+def after_high_water(spark, sf_dir):
+    """What a second export sends, when the first one had sent everything up to the last even signup."""
+    rows = log(spark, sf_dir).withColumn("at_ms", F.col("srv"))
+    mark = export.high_water(rows.where("event_type = 'signup' AND event_id % 2 = 0"))
+    return export.after(rows, mark).select("event_id")
+
+
+@query("SELECT count(*) - count(DISTINCT sha256(l_orderkey || chr(31) || l_linenumber)) AS collisions FROM lineitem")
+def span_collisions(spark, sf_dir):
+    """Lines as child spans of their order; a line number that an order holds twice gives one id twice."""
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("session_id"), F.lit(1).alias("page_load_seq"), F.lit(0).cast("long").alias("srv"), F.lit("line").alias("origin"), F.lit(None).cast("long").alias("event_id"), F.col("l_linenumber").cast("string").alias("span"), F.col("l_quantity").alias("ms"), F.col("l_tax").alias("ms_max"), F.lit(1).cast("long").alias("frames"))
+    return export.span_collisions(export.otlp_spans(lines))
+
+
+@query("SELECT substr(sha256('client.error' || chr(31) || user_id || chr(31) || '1' || chr(31) || ('k=' || json_extract_string(props, '$.k'))), 1, 32) AS id, 'com.spanlake.client.error' AS type, user_id || '#1' AS subject, 'k=' || json_extract_string(props, '$.k') AS message FROM events WHERE event_type = 'error'")
+def cloud_event_envelopes(spark, sf_dir):
+    errors = log(spark, sf_dir).where("event_type = 'error'").select(F.col("user_id").cast("string").alias("session_id"), F.lit(1).alias("page_load_seq"), F.timestamp_millis("srv").alias("arrived"), F.concat(F.lit("k="), F.col("k").cast("string")).alias("msg"), F.lit(None).cast("string").alias("top_frame"), F.lit(None).cast("string").alias("top_location"))
+    part = lambda path: F.get_json_object("json", path)
+    return export.error_events(errors).select(part("$.id").alias("id"), part("$.type").alias("type"), part("$.subject").alias("subject"), part("$.data.message").alias("message"))
+
+
+@query("SELECT event_id, 'required_field_missing' AS reason, 'error.k' AS detail FROM events WHERE event_type = 'error' AND json_extract_string(props, '$.k') IS NULL UNION ALL SELECT event_id, 'kind_not_in_contract', 'kind=' || event_type FROM events WHERE event_type NOT IN ('view', 'click', 'error', 'purchase')")
+def strict_rules(spark, sf_dir):
+    """The opt-in rules: declared kinds, and fields that a kind must have."""
+    kind = F.col("event_type")
+    rules = [
+        rule((kind == "error") & F.col("k").isNull(), "landed_fields", "required_field_missing", F.lit("error.k")),
+        rule(~kind.isin("view", "click", "error", "purchase"), "landed_fields", "kind_not_in_contract", F.concat(F.lit("kind="), kind)),
+    ]
+    found = F.filter(F.array(*rules), lambda r: r.isNotNull())
+    return log(spark, sf_dir).select("event_id", F.inline(found)).drop("relation")

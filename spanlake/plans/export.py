@@ -86,11 +86,16 @@ def _event(rows: DataFrame, kind: str, key: list[Column], data: Column, time: Co
     return rows.select((F.unix_millis(time) if time is not None else F.lit(None).cast("long")).alias("at_ms"), F.to_json(envelope).alias("json"))
 
 
+def error_events(error_report: DataFrame) -> DataFrame:
+    data = F.struct(F.col("msg").alias("message"), "top_frame", F.col("top_location").alias("location"))
+    return _event(error_report, "client.error", [F.col("session_id"), F.col("page_load_seq"), F.col("msg")], data, F.col("arrived"), F.concat("session_id", F.lit("#"), "page_load_seq"))
+
+
 def cloud_events(summary: DataFrame, error_report: DataFrame, alarms: DataFrame) -> DataFrame:
     """at_ms, json: CloudEvents 1.0; attributes that are not set are left out, never sent as null."""
     session = F.struct("duration_s", "outcome", "final_state", "kills", "hp_first", "hp_last", "alarms", "errors", "beats", "ua", "states_visited")
     done = _event(summary, "session.completed", [F.col("session_id"), F.col("page_load_seq")], session, subject=F.col("client_id"))
-    error = _event(error_report, "client.error", [F.col("session_id"), F.col("page_load_seq"), F.col("msg")], F.struct(F.col("msg").alias("message"), "top_frame", F.col("top_location").alias("location")), F.col("arrived"), F.concat("session_id", F.lit("#"), "page_load_seq"))
+    error = error_events(error_report)
     alarm = _event(alarms, "alarm.summary", [F.col("class")], F.struct("class", F.col("n").alias("count"), "page_loads", F.coalesce("states_when_raised", F.array().cast("array<string>")).alias("states_when_raised")))
     return done.unionByName(error).unionByName(alarm)
 

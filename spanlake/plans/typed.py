@@ -32,7 +32,7 @@ def _members(table: DataFrame, column: str) -> list[str]:
     return sorted({r[0] for r in table.select(column).where(F.col(column).isNotNull()).collect()})
 
 
-def _rule(broken: Column, relation: str, reason: str, detail: Column) -> Column:
+def rule(broken: Column, relation: str, reason: str, detail: Column) -> Column:
     return F.when(F.coalesce(broken, F.lit(False)), F.struct(F.lit(relation).alias("relation"), F.lit(reason).alias("reason"), detail.alias("detail")))
 
 
@@ -44,27 +44,27 @@ def rules(records: DataFrame, reference: Reference, strict: bool = False) -> lis
     """Each rule as a column: null where it holds. `strict` adds the declared rules that are opt-in."""
     kind, pulse = F.col("kind"), F.col("pulse")
     enums = {"state": current(reference.states), "mode": reference.modes, "char": current(reference.characters), "boss": current(reference.bosses)}
-    out = [_rule(F.col("precedes_first_hello"), "landed", "orphan_record_no_hello", F.lit("record precedes the first hello in its session file"))]
+    out = [rule(F.col("precedes_first_hello"), "landed", "orphan_record_no_hello", F.lit("record precedes the first hello in its session file"))]
     for name, table in enums.items():
-        out.append(_rule(pulse.isNotNull() & ~pulse[name].isin(_members(table, name)), "pulses", f"{name}_not_in_contract", _told(name, pulse[name])))
+        out.append(rule(pulse.isNotNull() & ~pulse[name].isin(_members(table, name)), "pulses", f"{name}_not_in_contract", _told(name, pulse[name])))
     size = F.size("events")
     out += [
-        _rule((kind == "alarm") & ~F.col("class").isin(*ALARM_CLASSES), "alarms", "alarm_class_not_in_contract", _told("class", F.col("class"))),
-        _rule((kind == "beat") & (size > cap("events_per_beat")), "beats", "events_per_beat_over_cap", _told("events", size)),
-        _rule((kind == "bye") & (size > cap("events_per_bye")), "sessions", "events_per_bye_over_cap", _told("events", size)),
-        _rule(F.col("trace.frames") > cap("trace_frames"), "spans", "trace_frames_over_cap", _told("frames", F.col("trace.frames"))),
-        _rule((kind == "hello") & ~origin_of(F.col("href")).isin(_members(reference.origins, "origin")), "sessions", "origin_not_in_reference", _told("origin", origin_of(F.col("href")))),
-        _rule(F.col("srv").isNull(), "landed", "srv_missing", F.lit("srv IS NULL")),
+        rule((kind == "alarm") & ~F.col("class").isin(*ALARM_CLASSES), "alarms", "alarm_class_not_in_contract", _told("class", F.col("class"))),
+        rule((kind == "beat") & (size > cap("events_per_beat")), "beats", "events_per_beat_over_cap", _told("events", size)),
+        rule((kind == "bye") & (size > cap("events_per_bye")), "sessions", "events_per_bye_over_cap", _told("events", size)),
+        rule(F.col("trace.frames") > cap("trace_frames"), "spans", "trace_frames_over_cap", _told("frames", F.col("trace.frames"))),
+        rule((kind == "hello") & ~origin_of(F.col("href")).isin(_members(reference.origins, "origin")), "sessions", "origin_not_in_reference", _told("origin", origin_of(F.col("href")))),
+        rule(F.col("srv").isNull(), "landed", "srv_missing", F.lit("srv IS NULL")),
     ]
     if MALFORMED in records.columns:
-        out.append(_rule(F.col(MALFORMED).isNotNull(), "landed", "malformed_json", F.substring(MALFORMED, 1, 200)))
+        out.append(rule(F.col(MALFORMED).isNotNull(), "landed", "malformed_json", F.substring(MALFORMED, 1, 200)))
     if strict:
-        out.append(_rule(~kind.isin(*RECORD_KINDS), "landed_fields", "kind_not_in_contract", _told("kind", kind)))
-        out.append(_rule((kind == "beat") & ~F.col("vis").isin(*VISIBILITIES), "beats", "visibility_not_in_contract", _told("vis", F.col("vis"))))
-        out.append(_rule(~F.col("trace.level").isin(*TRACE_LEVELS), "spans", "trace_level_not_in_contract", _told("level", F.col("trace.level"))))
+        out.append(rule(~kind.isin(*RECORD_KINDS), "landed_fields", "kind_not_in_contract", _told("kind", kind)))
+        out.append(rule((kind == "beat") & ~F.col("vis").isin(*VISIBILITIES), "beats", "visibility_not_in_contract", _told("vis", F.col("vis"))))
+        out.append(rule(~F.col("trace.level").isin(*TRACE_LEVELS), "spans", "trace_level_not_in_contract", _told("level", F.col("trace.level"))))
         for k, fields in REQUIRED_FIELDS.items():
             for f in fields:
-                out.append(_rule((kind == k) & F.col(f).isNull(), "landed_fields", "required_field_missing", F.lit(f"{k}.{f}")))
+                out.append(rule((kind == k) & F.col(f).isNull(), "landed_fields", "required_field_missing", F.lit(f"{k}.{f}")))
     return out
 
 

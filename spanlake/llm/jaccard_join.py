@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from spanlake.llm.chunks import slices
 from spanlake.llm.components import components
+from spanlake.llm.idfilter import likely_in
 from spanlake.llm.scratch import discard, written
 from spanlake.llm.shingles import shingle_sets
 
@@ -174,13 +175,14 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     ranks = docs.sparkSession.sparkContext.broadcast(frequency_ranks(slim, k))
     seen = written(slim.mapInArrow(_prefixes(ranks, k, percent), "doc_id long, n_shingles long, digest binary, head array<long>"), "prefixes")
     nodes = seen.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    classes = nodes.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    # One document of each class: its first row, should the id repeat.
-    first = nodes.join(classes, (nodes.digest == classes.digest) & (nodes.doc_id == classes.rep)).select("rep", "n_shingles", "head").dropDuplicates(["rep"])
-    reps = written(first, "reps")
+    # One document of each class: the smallest id.
+    least = F.min(F.struct("doc_id", "n_shingles", "head")).alias("first")
+    reps = written(nodes.groupBy("digest").agg(least).select("digest", F.col("first.doc_id").alias("rep"), "first.n_shingles", "first.head"), "reps")
+    classes = reps.select("digest", "rep")
     base = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100)
     posted = reps.select("rep", "n_shingles", F.posexplode("head").alias("at", "token")).withColumn("level", F.greatest(F.lit(1), F.col("at") - base + 1).cast("int")).drop("at")
-    shared = posted.groupBy("token").agg(F.count("*").alias("df"), F.min("rep").alias("hub")).where("df > 1")
+    # Written, so that the join reads two plain shuffles and Spark can split a common shingle over tasks.
+    shared = written(posted.groupBy("token").agg(F.count("*").alias("df"), F.min("rep").alias("hub")).where("df > 1"), "shared")
     live = written(posted.join(shared, "token"), "postings")
     rare = live.where(F.col("df") <= COMMON)
     # The candidates that a document meets with l matches, from its postings: those of its first levels, shared by l.
@@ -198,7 +200,7 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     groups = written(components(pairs.union(stars)), "groups")
     counted = groups.groupBy("component_id").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / BLOCK_DOCS).cast("int"))
     placed = groups.join(counted, "component_id").select(F.col("id").alias("doc_id"), F.col("component_id").alias("bundle"), "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"))
-    one = slim.join(placed, "doc_id").mapInArrow(_sets(k), "doc_id long, tokens binary, bundle long, blocks int, block int")
+    one = likely_in(slim, groups.select("id")).join(placed, "doc_id").mapInArrow(_sets(k), "doc_id long, tokens binary, bundle long, blocks int, block int")
     dealt = one.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("doc_id", "tokens", "bundle", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     links = written(dealt.groupBy("bundle", "low", "high").applyInArrow(_verified(percent), "a long, b long"), "links")
     joined = components(links).withColumnRenamed("id", "rep")
@@ -215,3 +217,24 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """
     first = jaccard_components(docs, k, percent).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(first, docs["doc_id"] == first["kept_id"], "left_semi").unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+#: All pairs that share a shingle, and components by recursion: for small tables.
+ORACLE = """
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+), shingles AS (
+    SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s FROM words
+), sizes AS (
+    SELECT d.doc_id, count(s) AS n FROM documents d LEFT JOIN shingles USING (doc_id) GROUP BY d.doc_id
+), shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 90 * (p.n + q.n - c)
+), ways AS (
+    SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach AS (
+    SELECT doc_id, doc_id AS r FROM documents UNION SELECT b.y, reach.r FROM reach JOIN ways b ON b.x = reach.doc_id
+)
+SELECT doc_id, n AS n_shingles, (SELECT min(r) FROM reach WHERE reach.doc_id = sizes.doc_id) AS component_id FROM sizes
+"""

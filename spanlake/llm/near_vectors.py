@@ -169,3 +169,20 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, column: str = "
     out = ids.join(counted, "vec_id", "left").join(joined, "vec_id", "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
+
+
+#: All pairs of a label, and components by recursion: for small tables.
+ORACLE = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+), links AS (
+    SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id < b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), ways AS (
+    SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach AS (
+    SELECT vec_id, vec_id AS r FROM embeddings UNION SELECT b.y, reach.r FROM reach JOIN ways b ON b.x = reach.vec_id
+), roots AS (
+    SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id
+)
+SELECT vec_id, (SELECT count(*) FROM ways WHERE ways.x = roots.vec_id) AS n_links, component_id, component_id = vec_id AS kept FROM roots
+"""

@@ -83,4 +83,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_byte_bpe": op10_byte_bpe,
     "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {"op5_line_dedup": line_dedup.ORACLE}
+ORACLES: dict[str, str] = {"op4_jaccard_join": jaccard_join.ORACLE, "op5_line_dedup": line_dedup.ORACLE, "op7_near_vectors": near_vectors.ORACLE}

@@ -1,0 +1,139 @@
+"""Operators 6 and 9, and the pipeline."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from fixtures import awkward_rows, empty, table
+from pyspark.sql import functions as F
+
+from spanlake.llm import private, toxicity
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    model = toxicity.fit(docs, labels.where("doc_id % 3 > 0"))
+    got = toxicity.accuracy(toxicity.score(docs, model), labels.where("doc_id % 3 = 0")).first()
+    assert got.right >= 0.92 * got.rows and got.wrongly <= 0.03 * got.rows and got.found >= 0.6 * (got.found + got.missed)
+    assert (np.diff(model.thresholds) > 0).all()
+
+
+def test_ordinal_fit_recovers_the_order():
+    rng = np.random.default_rng(1)
+    strength = rng.integers(0, 12, 600)
+    grade = np.digitize(strength + rng.normal(0, 0.7, 600), [3, 6, 9])
+    pointers = np.concatenate([[0], np.cumsum(strength)])
+    w, theta, _ = toxicity.fit_ordinal(grade, np.zeros(pointers[-1], np.int64), pointers, np.zeros(600), 1)
+    said = (strength[:, None] * w[0] >= theta).sum(axis=1)
+    assert w[0] > 0 and (np.diff(theta) > 0).all() and (said == grade).mean() > 0.7
+
+
+def model_of():
+    return toxicity.Model({"vile": 4.0, "awful*": 4.0}, np.array([2.0, 6.0, 10.0]), 0.0)
+
+
+def test_scores_on_awkward_rows(spark):
+    rows = awkward_rows() + [(50, "so VILE, vile! vile"), (51, "vile awfulness vile. Awful (vile)"), (52, "fine words " * 4000)]
+    docs = table(spark, rows).withColumn("grade", F.lit("own"))
+    out = toxicity.score(docs, model_of())
+    assert out.columns == [*docs.columns, "severity", "__grade", "toxic"] and out.count() == len(rows)
+    by = {r.doc_id: r for r in out.collect()}
+    assert by[50].toxic and by[51].severity > by[50].severity and not by[52].toxic and by[52].grade == "own"
+    assert by[4].severity == by[5].severity == by[6].severity == 0.0
+    assert toxicity.score(empty(spark), model_of()).count() == 0 and not toxicity.score(docs, None).where("toxic").count()
+
+
+def test_fit_without_both_classes_gives_no_model(spark):
+    docs = table(spark)
+    labels = lambda rows: spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+    assert toxicity.fit(docs, labels([])) is None and toxicity.fit(docs, labels([(1, 0, 0), (None, 0, 1), (2, 0, None)])) is None and toxicity.fit(empty(spark), labels([(1, 0, 1)])) is None
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 10, 100, 365, 4096])
+def test_permutations(size):
+    p = private.Permuter(b"k")
+    there = [p(i, size, "x") for i in range(size)]
+    assert sorted(there) == list(range(size)) and [p(v, size, "x", True) for v in there] == list(range(size))
+
+
+CASES = {
+    "email": ["a.99@mail7.example.com", "Jo-Ann_1@x.org"], "phone": ["+1 (017) 555-7713", "555-123-4567"], "ip": ["97.51.17.173", "0.0.0.0", "255.255.255.255"],
+    "card": ["4111 1111 1111 1111", "5500-0000-0000-0004", "378282246310005"], "iban": ["GB82 WEST 1234 5698 7654 32", "DE89370400440532013000"],
+    "ssn": ["123-45-6789"], "date": ["2024-02-29", "31.12.1999", "01/03/2000"], "secret": ["b44e15e09fd311c3cf3163b66d5a9875b883d8ce", "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"],
+}
+
+
+@pytest.mark.parametrize("kind", CASES)
+def test_pseudonyms_keep_format_validity_and_links(kind):
+    p = private.Pseudonyms(b"secret")
+    for value in CASES[kind]:
+        found = Counter()
+        text = f"see {value}, twice {value}\nend"
+        new = p.replace(text, found)
+        assert found == {kind: 2} and value not in new and len(new) == len(text) or kind in ("ip",)
+        first, second = new.split(", twice ")[0][4:], new.split("twice ")[1].split("\n")[0]
+        assert first == second and p.replace(text, back=False) == new
+        assert p.replace(new, back=True) == text
+        if kind != "ip":
+            assert [c.isdigit() for c in first] == [c.isdigit() for c in value] or kind in ("secret", "iban")
+        assert getattr(p, kind)(first) is not None  # still valid
+    assert private.Pseudonyms(b"other").replace(CASES[kind][0]) != p.replace(CASES[kind][0])
+
+
+@pytest.mark.parametrize("text", ["4111111111111112", "300.1.1.1", "01.2.3.4", "666-12-1234", "31/02/2000", "1850-01-01", "GB82 WEST 1234 5698 7654 33", "version 2.0", "0000000000000000", "1.2.3.4.5", "x@y", "12345"])
+def test_what_is_not_valid_stays(text):
+    assert private.Pseudonyms(b"secret").replace(f"a {text} b") == f"a {text} b"
+
+
+def test_pseudonyms_on_awkward_rows(spark):
+    rows = awkward_rows() + [(60, "mail a.1@b.example.com or 97.51.17.173"), (61, "x " * 20_000 + "97.51.17.173"), (62, "a.1@b.example.com")]
+    docs = table(spark, rows, clash=True)
+    out = private.pseudonymise(docs, b"k")
+    assert out.columns[: len(docs.columns)] == docs.columns and "__email" in out.columns
+    by = {r.doc_id: r for r in out.collect()}
+    assert by[60].text.split()[1] == by[62].text and by[60].text.split()[-1] == by[61].text.split()[-1] != "97.51.17.173"
+    assert by[4].text is None and by[4].n_ip == 0 and out.count() == len(rows)
+    assert private.pseudonymise(out.select(docs.columns), b"k", counts=False, back=True).exceptAll(docs).count() == 0
+    assert private.pseudonymise(empty(spark), b"k").count() == 0
+
+
+def test_pipeline_stages_work_on_what_the_ones_before_kept(spark, tmp_path):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["toxicity", "line_dedup", "jaccard_join", "private", "packing"] and corpus_pipeline.ORACLE_SQL is None
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    kept = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, kept[-1], SF)
+        out.write.parquet(str(tmp_path / name))
+        kept.append(spark.read.parquet(str(tmp_path / name)))
+        if name != "packing":
+            assert kept[-1].columns == docs.columns
+    ids = [{r.doc_id for r in k.select("doc_id").collect()} for k in kept]
+    assert all(b <= a for a, b in zip(ids, ids[1:])) and ids[4] == ids[5] and len(ids[5]) > 700
+    toxic = {r.doc_id for r in labels.where("toxic = 1").collect()} & ids[0]
+    assert len(toxic & ids[1]) <= 0.1 * len(toxic) and len(ids[0] - ids[1] - toxic) <= 0.1 * len(ids[0])
+    # line dedup: against brute force on its own input
+    from test_similar import brute_jaccard, brute_lines
+
+    rows = [(r.doc_id, r.text) for r in kept[1].collect()]
+    want = {rows[i][0]: t for i, t in brute_lines(rows, 2).items() if t.strip() or t == rows[i][1]}
+    assert {r.doc_id: r.text for r in kept[2].collect()} == want
+    groups = brute_jaccard([(r.doc_id, r.text) for r in kept[2].collect()], 5, 80)
+    assert ids[3] == {c for _, _, c in groups}
+    p = private.Pseudonyms(corpus_pipeline.KEY)
+    before = {r.doc_id: r.text for r in kept[3].collect()}
+    assert {r.doc_id: r.text for r in kept[4].collect()} == {i: p.replace(t) for i, t in before.items()}
+    assert kept[5].agg(F.sum("length")).first()[0] == kept[5].select("doc_id", "doc_tokens").distinct().agg(F.sum("doc_tokens")).first()[0]
+
+
+def test_random_texts_do_not_crash():
+    rng = random.Random(8)
+    p = private.Pseudonyms(b"k")
+    for _ in range(2000):
+        text = "".join(rng.choice("0123456789 .-/()+@abAB:\n") for _ in range(rng.randrange(60)))
+        assert p.replace(p.replace(text), back=True) is not None

@@ -26,15 +26,16 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     seen = _print(edges)
     while seen[0]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Minima are written, so that the joins read two plain shuffles and Spark can split the links of a hub over tasks.
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = written(large, "large")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        lower = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        small = large.join(lower, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         after = written(small.where("u != v").distinct(), "edges")
         now = _print(after)
-        discard(large)
-        discard(edges)
+        for done in (large, least, lower, edges):
+            discard(done)
         edges = after
         if now == seen:
             break

@@ -23,6 +23,7 @@ from spanlake.llm.scratch import written
 from spanlake.llm.vectors import cosines, element_type, from_bytes, norms, to_bytes, to_matrix, usable
 
 BLOCK_ROWS = 1_024
+GROUP_ROWS = 4_096
 ROUNDS = 3
 
 
@@ -87,59 +88,85 @@ def _contains(codes: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarr
     return (codes[i, :, :1] == codes[j]).any(axis=2), (codes[j, :, :1] == codes[i]).any(axis=2)
 
 
+def _forest(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The smallest row reachable from each of n rows over the links (x, y)."""
+    root = np.arange(n)
+    while True:
+        before = root.copy()
+        least = np.minimum(root[x], root[y])
+        np.minimum.at(root, root[x], least)
+        np.minimum.at(root, root[y], least)
+        root = root[root]
+        if (root == before).all():
+            return root
+
+
 def _linked(dtype: str, tables: int, probes: int, threshold: float):
-    empty = pa.table({"vec_id": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "root": pa.array([], pa.int64())})
+    """One group: many small buckets of one table, or a pair of blocks of a full one."""
 
     def run(group: pa.Table) -> pa.Table:
-        n = group.num_rows
-        if n < 2:
-            return empty
-        ids, block = group.column("vec_id").to_numpy(), group.column("block").to_numpy()
-        table, code = group.column("slot")[0].as_py(), group.column("code")[0].as_py()
-        low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
-        codes = group.column("codes").combine_chunks().flatten().to_numpy().reshape(n, tables, 1 + probes)
-        rows = from_bytes(group.column("vector"), dtype)
-        rows /= np.abs(rows).max(axis=1, keepdims=True)
-        unit = rows / norms(rows)[:, None]
-        links, root = np.zeros(n, np.int64), np.arange(n)
-        ends: list[tuple[np.ndarray, np.ndarray]] = []
-        left = np.flatnonzero(block == low)
-        right = left if low == high else np.flatnonzero(block == high)
-        for lo in range(0, len(left), 512):
-            part = left[lo : lo + 512]
-            a, b = np.nonzero(unit[part] @ unit[right].T >= threshold - 1e-9)
-            i, j = part[a], right[b]
-            keep = (ids[i] != ids[j]) & ((i < j) if low == high else True)
-            i, j = i[keep], j[keep]
-            for s in range(0, len(i), 50_000):
-                x, y = i[s : s + 50_000], j[s : s + 50_000]
-                ok = cosines(rows[x], rows[y]) >= threshold
+        table, most = group.column("slot")[0].as_py(), np.iinfo(np.int64).max
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        label = group.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+        key = [label, *(group.column(c).to_numpy() for c in ("code", "low", "high", "block"))]
+        for width in np.unique(group.column("width").to_numpy()):
+            at = np.flatnonzero(group.column("width").to_numpy() == width)
+            at = at[np.lexsort([k[at] for k in reversed(key)])]
+            part = group.take(pa.array(at))
+            _, code, low, high, block = (k[at] for k in key)
+            n, ids = len(at), part.column("vec_id").to_numpy()
+            codes = part.column("codes").combine_chunks().flatten().to_numpy().reshape(n, tables, 1 + probes)
+            rows = from_bytes(part.column("vector"), dtype)
+            rows /= np.abs(rows).max(axis=1, keepdims=True)
+            unit = rows / norms(rows)[:, None]
+            same = np.all([k[at][1:] == k[at][:-1] for k in key[:4]], axis=0)
+            bounds = [0, *(np.flatnonzero(~same) + 1).tolist(), n]
+            ends: list[tuple[np.ndarray, np.ndarray]] = []
+            for a, b in zip(bounds, bounds[1:]):
+                alone = low[a] == high[a]
+                middle = b if alone else a + int(np.searchsorted(block[a:b], high[a]))
+                first = a if alone else middle
+                for lo in range(a, middle, 512):
+                    i, j = np.nonzero(unit[lo : min(lo + 512, middle)] @ unit[first:b].T >= threshold - 1e-9)
+                    i, j = i + lo, j + first
+                    keep = i < j if alone else ids[i] != ids[j]
+                    if keep.any():
+                        ends += [(i[keep][s : s + 50_000], j[keep][s : s + 50_000]) for s in range(0, int(keep.sum()), 50_000)]
+            if not ends:
+                continue
+            links, kept = np.zeros(n, np.int64), []
+            for x, y in _joined(ends, 50_000):
+                ok = (ids[x] != ids[y]) & (cosines(rows[x], rows[y]) >= threshold)
                 x, y = x[ok], y[ok]
                 xy, yx = _contains(codes, x, y)
-                first = np.argmax(xy | yx, axis=1)
-                most = np.iinfo(np.int64).max
+                met = np.argmax(xy | yx, axis=1)
                 place = np.minimum(np.where(xy[:, table], codes[x, table, 0], most), np.where(yx[:, table], codes[y, table, 0], most))
-                here = (first == table) & (place == code)
+                here = (met == table) & (place == code[x])
                 x, y = x[here], y[here]
                 links += np.bincount(x, minlength=n) + np.bincount(y, minlength=n)
-                ends.append((x, y))
-        if not links.any():
-            return empty
-        x, y = (np.concatenate(e) for e in zip(*ends))
-        while True:
-            before = root.copy()
-            least = np.minimum(root[x], root[y])
-            np.minimum.at(root, root[x], least)
-            np.minimum.at(root, root[y], least)
-            root = root[root]
-            if (root == before).all():
-                break
-        hit = np.flatnonzero(links)
-        return pa.table({"vec_id": ids[hit], "links": links[hit], "root": ids[root[hit]]})
+                kept.append((x, y))
+            hit = np.flatnonzero(links)
+            root = _forest(n, *(np.concatenate(e) for e in zip(*kept)))
+            out.append((ids[hit], links[hit], ids[root[hit]]))
+        columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
+        return pa.table(dict(zip(("vec_id", "links", "root"), columns)))
 
     return run
 
 
+def _joined(ends: list[tuple[np.ndarray, np.ndarray]], most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of many small buckets together, about `most` at a time."""
+    held, n = [], 0
+    for e in ends:
+        held.append(e)
+        n += len(e[0])
+        if n >= most:
+            yield tuple(np.concatenate(c) for c in zip(*held))
+            held, n = [], 0
+    if held:
+        yield tuple(np.concatenate(c) for c in zip(*held))
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, column: str = "embedding", tables: int = 8, digits: int = 2, probes: int = 3, block_rows: int = BLOCK_ROWS, seed: int = 11) -> DataFrame:
     """vec_id, n_links, component_id, kept for every vector.
 
@@ -156,13 +183,18 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, column: str = "
     hashed = written(usual.mapInArrow(_hashed(dtype, tables, digits, probes, seed), "vec_id long, label string, width int, vector binary, codes array<long>"), "hashed")
     slot = (F.col("at") / (1 + probes)).cast("int")
     key = ["label", "width", "slot", "code"]
-    seats = hashed.select("vec_id", "label", "width", F.posexplode("codes").alias("at", "code")).select(*[c for c in ("vec_id", "label", "width")], slot.alias("slot"), "code")
-    counts = seats.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / block_rows).cast("int"))
+    seats = hashed.select("vec_id", "label", "width", F.posexplode("codes").alias("at", "code")).select("label", "width", slot.alias("slot"), "code")
+    # Written, so that the join reads two plain shuffles and Spark can split a full bucket over tasks.
+    counts = written(seats.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / block_rows).cast("int")), "buckets")
     full = hashed.select("*", F.posexplode("codes").alias("at", "code")).withColumn("slot", slot)
     met = full.join(counts, key).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
-    spread = met.select(*key, "vec_id", "vector", "codes", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = spread.select(*key, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "vec_id", "vector", "codes", "block")
-    found = written(dealt.groupBy(*key, "low", "high").applyInArrow(_linked(dtype, tables, probes, threshold), "vec_id long, links long, root long"), "links")
+    spread = met.select(*key, "vec_id", "vector", "codes", "block", (F.col("blocks") > 1).alias("full"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = spread.select(*key, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "vec_id", "vector", "codes", "block", "full")
+    # Small buckets share groups of about GROUP_ROWS rows, as each group costs a call; each pair of blocks is its own.
+    shards = max(1, (counts.agg(F.sum("n")).first()[0] or 0) // (tables * GROUP_ROWS))
+    small = F.pmod(F.xxhash64("label", "width", "code"), F.lit(shards))
+    grouped = dealt.withColumn("group", F.when(F.col("full"), F.xxhash64("label", "width", "code", "low", "high")).otherwise(small))
+    found = written(grouped.groupBy("slot", "group").applyInArrow(_linked(dtype, tables, probes, threshold), "vec_id long, links long, root long"), "links")
     counted = found.groupBy("vec_id").agg(F.sum("links").alias("n_links"))
     joined = components(found, "vec_id", "root").withColumnRenamed("id", "vec_id")
     ids = every.select("vec_id").distinct()

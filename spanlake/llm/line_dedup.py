@@ -27,9 +27,10 @@ def line_ids(docs: DataFrame) -> DataFrame:
 
 
 def _repeated(runs: DataFrame, names: list[str]) -> DataFrame:
-    """The names that at least two positions have, with the first of these."""
-    place = F.struct(F.col("doc").isNotNull().alias("known"), "doc", "text_hash", "at")
-    return runs.groupBy(*names).agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
+    """The names that at least two positions have, with the first of these. Written, so that the join with the positions
+    reads two plain shuffles and Spark can split a very common name over tasks."""
+    place = F.struct(F.col("doc").isNull().alias("unknown"), "doc", "text_hash", "at")
+    return written(runs.groupBy(*names).agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1"), "names")
 
 
 def _is_copy():
@@ -47,7 +48,7 @@ def _named(pairs: DataFrame) -> DataFrame:
     """The pairs that repeat, under one name each: the rank among those with the same first line, in the order of lines."""
     names = ["head", "rank", "head_2", "rank_2"]
     order = Window.partitionBy("head").orderBy("rank", "head_2", "rank_2")
-    ranked = _repeated(pairs, names).withColumn("new_rank", F.row_number().over(order))
+    ranked = written(_repeated(pairs, names).withColumn("new_rank", F.row_number().over(order)), "ranks")
     return pairs.join(ranked, names).select(*KEY, "at", "head", F.col("new_rank").alias("rank"), "first")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanlake.llm import jaccard_join, line_dedup, packing, private, toxicity
-from spanlake.llm.scratch import written
+from spanlake.llm.scratch import small_batches, written
 
 LINES = 2
 SHINGLE_WORDS, SIMILARITY = 5, 80
@@ -24,6 +24,7 @@ ORACLE_SQL = None
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose expected severity stays under the limit; the model is fitted on a bounded sample of `labels`."""
+    small_batches(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score(docs, model).where(~F.col("toxic")).select(docs.columns)
 
@@ -39,15 +40,18 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group linked by five-word shingles."""
+    small_batches(spark)
     return jaccard_join.one_of_each(docs, SHINGLE_WORDS, SIMILARITY).select(docs.columns)
 
 
 def hide_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Private values replaced by pseudonyms of the same format."""
+    small_batches(spark)
     return private.pseudonymise(docs, KEY, counts=False)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end=1, length=SEQUENCE)
 
 

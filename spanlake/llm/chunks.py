@@ -7,6 +7,8 @@ each new chunk once, and numpy puts the ids of whole texts together.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from array import array
 from collections.abc import Callable, Iterator
 
@@ -16,8 +18,8 @@ import pyarrow.compute as pc
 
 #: White space of any kind before a space: such texts are encoded in one piece.
 SPACE_RUN = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}] "
-SLICE_BYTES = 16 << 20
-CACHE_ENTRIES = 700_000
+SLICE_BYTES = 8 << 20
+CACHE_ENTRIES = 200_000
 
 
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -30,6 +32,16 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
             yield batch.slice(a, b - a)
 
 
+def release() -> None:
+    """Give freed memory back to the system at the end of a task, as Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 class Chunked:
     """Distinct chunks of a batch (`chunks`), and for each text its run of chunk numbers
     (`codes[offsets[i]:offsets[i + 1]]`). Empty chunks are left out."""

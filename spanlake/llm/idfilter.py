@@ -37,27 +37,28 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([zlib.compress(bits.tobytes(), 1)], pa.binary())], ["part", "bits"])
 
 
-def _kept(held, column: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            known = batch.column(column).is_valid().to_numpy(zero_copy_only=False)
-            ids = batch.column(column).fill_null(0)
-            yield batch.filter(pa.array(held.value[_places(ids)] & known))
-
-    return run
-
-
-def likely_in(rows: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
-    """The rows whose long `column` may be among the one column of `ids`; none of those is lost, some others may stay.
-
-    The filter has 2 ** BITS bits whatever the number of ids: with more ids it lets more of the others through,
-    and the join that follows stays right.
-    """
-    spark = rows.sparkSession
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """The filter of the one column of `ids`: 2 ** BITS flags whatever their number. With more ids it lets more of the
+    others through, and the join that follows stays right."""
     merged = ids.mapInArrow(_marked, "part int, bits binary").repartition(16, "part").mapInArrow(_merged, "part int, bits binary")
     held = np.zeros((1 << BITS - PART_BITS, 1 << PART_BITS), bool)
     for r in merged.collect():  # at most 64 rows of 32 kB
         held[r["part"]] = np.unpackbits(np.frombuffer(zlib.decompress(r["bits"]), np.uint8)).astype(bool)
-    return rows.mapInArrow(_kept(spark.sparkContext.broadcast(held.ravel()), column), rows.schema)
+    return held.ravel()
 
 
+def may_be_in(held: np.ndarray, column: pa.Array) -> np.ndarray:
+    """Which ids of an Arrow column may be among those of the filter; none that is gets lost."""
+    known = column.is_valid().to_numpy(zero_copy_only=False)
+    return held[_places(column.fill_null(0))] & known
+
+
+def likely_in(rows: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """The rows whose long `column` may be among `ids`; none of those is lost, some others may stay."""
+    held = rows.sparkSession.sparkContext.broadcast(id_filter(ids))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(may_be_in(held.value, batch.column(column))))
+
+    return rows.mapInArrow(run, rows.schema)

@@ -22,9 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanlake.llm.chunks import slices
+from spanlake.llm.chunks import release, slices
 from spanlake.llm.components import components
-from spanlake.llm.idfilter import likely_in
+from spanlake.llm.idfilter import id_filter, may_be_in
 from spanlake.llm.scratch import discard, written
 from spanlake.llm.shingles import shingle_sets
 
@@ -47,6 +47,7 @@ def _count(k: int):
         used = np.flatnonzero(parts.any(axis=1))
         for c in used.tolist():
             yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([zlib.compress(parts[c].tobytes(), 1)], pa.binary())], ["chunk", "counts"])
+        release()
 
     return run
 
@@ -90,16 +91,21 @@ def _prefixes(ranks, k: int, percent: int):
                     digests.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
                     heads.append(tokens[order[: n - least_overlap(n, percent) + LEVELS]].view(np.int64) if n else [])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(heads, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "digest", "head"])
+        release()
 
     return run
 
 
-def _sets(k: int):
+def _sets(k: int, held):
+    """Shingle sets of the documents that the id filter lets through."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(may_be_in(held.value, batch.column("doc_id"))))
             for part in slices(batch, "text"):
                 sets = [x.tobytes() for x in shingle_sets(part.column("text"), k)]
-                yield part.set_column(part.schema.get_field_index("text"), "tokens", pa.array(sets, pa.binary()))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "tokens"])
+        release()
 
     return run
 
@@ -200,7 +206,8 @@ def jaccard_components(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFr
     groups = written(components(pairs.union(stars)), "groups")
     counted = groups.groupBy("component_id").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / BLOCK_DOCS).cast("int"))
     placed = groups.join(counted, "component_id").select(F.col("id").alias("doc_id"), F.col("component_id").alias("bundle"), "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"))
-    one = likely_in(slim, groups.select("id")).join(placed, "doc_id").mapInArrow(_sets(k), "doc_id long, tokens binary, bundle long, blocks int, block int")
+    held = docs.sparkSession.sparkContext.broadcast(id_filter(groups.select("id")))
+    one = slim.mapInArrow(_sets(k, held), "doc_id long, tokens binary").join(placed, "doc_id")
     dealt = one.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("doc_id", "tokens", "bundle", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     links = written(dealt.groupBy("bundle", "low", "high").applyInArrow(_verified(percent), "a long, b long"), "links")
     joined = components(links).withColumnRenamed("id", "rep")

@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanlake.llm.chunks import library_encoder, slices
+from spanlake.llm.chunks import library_encoder, release, slices
 from spanlake.llm.scratch import written
 
+PART_ROWS = 100_000
 PIECE_SCHEMA = "doc_id long, row long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -44,6 +45,7 @@ def _cut(path: str, keep_space: bool, end: int | None, length: int, keep_ids: bo
                     columns.append(pa.array(bodies, pa.binary()))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
+        release()
 
     return run
 
@@ -119,18 +121,21 @@ def slots(patterns: list[tuple[list[int], int]]) -> list[tuple[int, int, int, in
 SLOT = T.StructType([T.StructField(n, T.LongType(), False) for n in ("length", "first_rank", "last_rank", "repeat", "first_sequence", "first_offset")])
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end: int | None = 1, length: int = 2048, keep_space: bool = False, keep_ids: bool = False, salts: int = 64) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, end: int | None = 1, length: int = 2048, keep_space: bool = False, keep_ids: bool = False, part_rows: int = PART_ROWS) -> DataFrame:
     """Each piece with its sequence_id and its offset there; sequences have no gaps before their padding.
 
     Null texts are empty; equal rows are packed one by one; empty tables give no rows; columns other than
-    doc_id and text are not kept. A length that most pieces have is ranked in `salts` parts, and the
-    parts' counts give each part its first rank, so that no task holds all pieces of a length.
+    doc_id and text are not kept. A length that many pieces have is ranked in parts of about `part_rows`, and
+    the parts' counts give each its first rank, so that no task holds all pieces of a length. Broadcast are a row
+    for each part and the slots, a few for each length.
     """
     pieces = written(pieces_of(docs, tokenizer, end, length, keep_space, keep_ids), "pieces")
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "row", "start"), F.lit(salts)).cast("int"))
+    histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most `length` rows
+    spark = docs.sparkSession
+    parts = F.broadcast(spark.createDataFrame([(size, -(-n // part_rows)) for size, n in histogram.items()], "length long, parts long"))
+    salted = pieces.join(parts, "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "row", "start"), F.col("parts")).cast("int")).drop("parts")
     counts = written(salted.groupBy("length", "salt").agg(F.count("*").alias("n")), "lengths")
-    histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `length` rows
-    table = docs.sparkSession.createDataFrame(slots(shortest_pack_first(histogram, length)), SLOT)
+    table = spark.createDataFrame(slots(shortest_pack_first(histogram, length)), SLOT)
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     inside = Window.partitionBy("length", "salt").orderBy("doc_id", "row", "start")

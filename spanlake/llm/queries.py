@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanlake.llm import ann, byte_bpe, jaccard_join, line_dedup, near_vectors, packing, passages, private, token_store, toxicity
-from spanlake.llm.scratch import fresh_path
+from spanlake.llm.scratch import fresh_path, small_batches
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,19 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN[0]
 
 
+ARROW_BATCH = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Hold Arrow batches between the JVM and Python to 8 MB in this session, unless it has a lower limit. By default a batch
+    has 10,000 rows whatever their size, which for long texts fills executors outside their heap."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    if now > ARROW_BATCH:
+        spark.conf.set(key, str(ARROW_BATCH))
+    return spark
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/spanlake/{name}-{uuid.uuid4().hex}"
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanlake.llm.chunks import library_encoder, slices
+from spanlake.llm.chunks import library_encoder, release, slices
 
 BLOCK_IDS = 1 << 16
 BLOCK_SCHEMA = "shard int, block int, bits int, n_ids long, payload binary, docs array<struct<doc_id: long, at: long, n_tokens: long>>"
@@ -74,6 +74,7 @@ def _blocks(path: str, keep_space: bool, end: int | None, block_ids: int):
                         number, held, docs, filled = number + 1, [], [], 0
         if docs:
             yield flush()
+        release()
 
     return run
 

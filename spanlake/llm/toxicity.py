@@ -20,11 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanlake.llm.chunks import slices
+from spanlake.llm.chunks import release, slices
 from spanlake.llm.scratch import unused
 
 SAMPLE_ROWS = 20_000
 FEATURES = 2_048
+CANDIDATES = 20_480
 LEAST_ROWS = 4
 GRADES = 3
 REJECT = 0.5
@@ -47,7 +48,8 @@ def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     lists = pc.utf8_split_whitespace(pc.fill_null(texts, "").cast(pa.string()))
     coded = lists.flatten().dictionary_encode()
     row = np.repeat(np.arange(len(texts), dtype=np.int64), lists.value_lengths().to_numpy())
-    both = np.unique(row * max(1, len(coded.dictionary)) + coded.indices.to_numpy()) if len(coded) else np.zeros(0, np.int64)
+    full = pc.greater(pc.binary_length(coded.dictionary), 0).to_numpy(zero_copy_only=False)[coded.indices.to_numpy()]
+    both = np.unique((row * max(1, len(coded.dictionary)) + coded.indices.to_numpy())[full])
     return *np.divmod(both, max(1, len(coded.dictionary))), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
 
 
@@ -68,27 +70,38 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows: tuple[Counter, Counter] = (Counter(), Counter())
-    for batch in batches:
-        for part in slices(batch, "text"):
-            row, token, tokens = tokens_of(part.column("text"))
-            known = [features_of(t) for t in tokens]
-            toxic = part.column("toxic").to_pylist()
-            bounds = np.searchsorted(row, np.arange(part.num_rows + 1))
-            for i in range(part.num_rows):
-                rows[toxic[i]].update({f for t in token[bounds[i] : bounds[i + 1]].tolist() for f in known[t]})
-    names = list(rows[0].keys() | rows[1].keys())
-    for lo in range(0, len(names), 50_000):
-        part = names[lo : lo + 50_000]
-        yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([rows[1][x] for x in part], pa.int64()), pa.array([rows[0][x] for x in part], pa.int64())], ["feature", "toxic", "clean"])
+#: Lists of the features of all tokens stand in memory while a model is fitted, so the parts are small.
+FIT_BYTES = 1 << 20
+
+
+def _counted(wanted=None):
+    """mapInArrow: in how many rows each feature stands; with `wanted` only these features."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: Counter = Counter()
+        only = wanted.value if wanted else None
+        for batch in batches:
+            for part in slices(batch, "text", FIT_BYTES):
+                row, token, tokens = tokens_of(part.column("text"))
+                known = [features_of(t) if only is None else [f for f in features_of(t) if f in only] for t in tokens]
+                bounds = np.searchsorted(row, np.arange(part.num_rows + 1))
+                for i in range(part.num_rows):
+                    rows.update({f for t in token[bounds[i] : bounds[i + 1]].tolist() for f in known[t]})
+        names = list(rows)
+        for lo in range(0, len(names), 50_000):
+            part = names[lo : lo + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([rows[x] for x in part], pa.int64())], ["feature", "n"])
+        rows.clear()
+        release()
+
+    return run
 
 
 def _vectors(chosen):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = chosen.value
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", FIT_BYTES):
                 row, token, tokens = tokens_of(part.column("text"))
                 known = [[number[f] for f in features_of(t) if f in number] for t in tokens]
                 bounds = np.searchsorted(row, np.arange(part.num_rows + 1))
@@ -143,7 +156,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, feat
         toxic, clean = total.get(1, 0), total.get(0, 0)
         if not toxic or not clean:
             return None
-        counts = sample.mapInArrow(_counted, "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        # Features of toxic rows first, the most frequent of them; clean rows are then searched for these alone.
+        count = lambda rows, run: rows.select("text").mapInArrow(run, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+        often = count(sample.where("toxic = 1"), _counted()).where("n > 1").orderBy(F.desc("n"), "feature").limit(CANDIDATES).persist()
+        wanted = spark.sparkContext.broadcast({r["feature"] for r in often.collect()})
+        cleaner = count(sample.where("toxic = 0"), _counted(wanted)).withColumnRenamed("n", "clean")
+        counts = often.withColumnRenamed("n", "toxic").join(cleaner, "feature", "left").fillna(0, ["clean"])
         odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
         best = counts.where(F.col("toxic") + F.col("clean") >= LEAST_ROWS).withColumn("odds", odds).where("odds > 1.5").withColumn("gain", F.col("odds") * F.col("toxic"))
         top = best.orderBy(F.desc("gain"), "feature").limit(features).collect()
@@ -152,6 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, feat
         number = {r["feature"]: i for i, r in enumerate(top)}
         marks = np.array([not r["feature"].endswith("*") and r["odds"] > 3 for r in top])
         rows = sample.mapInArrow(_vectors(spark.sparkContext.broadcast(number)), "toxic int, n long, features array<int>").collect()
+        often.unpersist()
     finally:
         sample.unpersist()
     held = [np.asarray(r["features"], np.int64) for r in rows]
@@ -172,7 +191,7 @@ def _scored(model, names: dict[str, str], reject: float):
         m = model.value
         get = m.weights.get if m else None
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 2 * FIT_BYTES):
                 expected = np.zeros(part.num_rows)
                 if m:
                     row, token, tokens = tokens_of(part.column("text"))

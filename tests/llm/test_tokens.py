@@ -123,7 +123,7 @@ def test_packs_hold_all_pieces_and_no_more_than_fits(histogram):
 @pytest.mark.parametrize("clash", [False, True])
 def test_packed_sequences_have_no_gaps_and_every_id(spark, clash):
     docs, whole = table(spark, clash=clash), tokenizer(WORD)
-    packed = packing.pack_documents(docs, WORD, length=256, keep_ids=True, salts=3)
+    packed = packing.pack_documents(docs, WORD, length=256, keep_ids=True, part_rows=7)
     rows = packed.collect()
     by_sequence, pieces = defaultdict(list), defaultdict(list)
     for r in rows:

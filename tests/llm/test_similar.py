@@ -203,6 +203,36 @@ def test_passages_on_awkward_rows(spark):
     assert passages.repeated_passages(empty(spark)).count() == 0
 
 
+def test_passages_within_the_limits_are_found(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(20_000)]
+    draw = lambda n: [rng.choice(words) for _ in range(n)]
+    rows, want = [], defaultdict(set)
+    for size, same in ((50, 0.9), (50, 0.86), (60, 0.86), (60, 0.82), (80, 0.86), (80, 0.82)):
+        while len(want[size, same]) < 60:
+            base = draw(size)
+            copy = [w if rng.random() < same else rng.choice(words) for w in base]
+            equal = [i for i, (a, b) in enumerate(zip(base, copy)) if a == b]
+            if len(equal) >= 40 and len(equal) >= 0.8 * (equal[-1] + 1 - equal[0]):
+                n = len(rows)
+                rows += [(n, " ".join(draw(70) + base + draw(70))), (n + 1, " ".join(draw(90) + copy + draw(50)))]
+                want[size, same].add((n + 1, n))
+    got = {(r.doc_id, r.source_id) for r in passages.repeated_passages(table(spark, rows)).collect()}
+    recall = {case: len(pairs & got) / 60 for case, pairs in want.items()}
+    assert min(recall.values()) >= 0.95 and got <= set().union(*want.values()), recall
+
+
+def test_passages_of_one_repeated_word_are_covered_by_few_rows(spark):
+    got = passages.repeated_passages(table(spark, [(1, "a " * 200), (2, "a " * 900)])).collect()
+    assert 900 - sum(r.end - r.start for r in got) < 0 < len(got) < 30
+    assert set().union(*(range(r.start, r.end) for r in got)) == set(range(900))
+
+
+def test_rows_that_add_no_word_are_left_out():
+    columns = np.array([(0, 100, 0, 100), (0, 60, 0, 60), (50, 160, 200, 310), (90, 200, 50, 160), (110, 190, 70, 150)]).T
+    assert sorted(passages.covering(*columns)) == [0, 2, 3]
+
+
 def brute_chain(at, src, k, gap):
     best, order = [], sorted(range(len(at)), key=lambda i: at[i])
     for i in order:

@@ -228,6 +228,38 @@ def test_passages_of_one_repeated_word_are_covered_by_few_rows(spark):
     assert set().union(*(range(r.start, r.end) for r in got)) == set(range(900))
 
 
+def test_a_passage_of_two_parts_that_first_stood_apart_is_found(spark):
+    rng = random.Random(9)
+    draw = lambda n: [f"w{rng.randrange(20_000)}" for _ in range(n)]
+    rows, want = [], set()
+    for _ in range(40):
+        one, two, n = draw(30), draw(30), len(rows)
+        rows += [(n + i, " ".join(draw(50) + p + draw(50))) for i, p in enumerate((one, two, one + two, one + two))]
+        want.add((n + 3, n + 2, 60))
+    got = {(r.doc_id, r.source_id, r.words) for r in passages.repeated_passages(table(spark, rows)).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_seeds_link_to_their_first_place_and_the_document_before(spark, parts):
+    rng = random.Random(parts)
+    rows = sorted({(rng.choice((-5, 1, 2, 2, 2, 9)), rng.randrange(60), rng.randrange(8)) for _ in range(500)})
+    held = defaultdict(lambda: defaultdict(list))
+    for seed, doc, at in rows:
+        held[seed][doc].append(at)
+    want = []
+    for docs in held.values():
+        ids = sorted(docs)
+        for before, doc in zip(ids, ids[1:]):
+            want += {(doc, src, at, min(docs[src])) for src in (ids[0], before) for at in docs[doc]}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = [tuple(r) for r in passages.links_of(spark.createDataFrame(rows, "seed long, doc long, at int"), parts).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(got) == sorted(want)
+
+
 def test_rows_that_add_no_word_are_left_out():
     columns = np.array([(0, 100, 0, 100), (0, 60, 0, 60), (50, 160, 200, 310), (90, 200, 50, 160), (110, 190, 70, 150)]).T
     assert sorted(passages.covering(*columns)) == [0, 2, 3]

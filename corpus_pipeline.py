@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from spanlake.llm import jaccard_join, line_dedup, packing, private, toxicity
 from spanlake.llm.scratch import small_batches, written
 
-LINES = 2
+LINES, LINE_WORDS = 2, 4
 SHINGLE_WORDS, SIMILARITY = 5, 80
 KEY = b"spanlake demonstration key"
 SEQUENCE = 2048
@@ -30,9 +30,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without runs of lines that stood before. A document of which nothing but white space is left goes; one
+    """Texts without runs of lines, or single lines of LINE_WORDS words, that stood before. A document of which nothing but white space is left goes; one
     that was empty before stays. n_chars follows the text."""
-    cleaned = line_dedup.dedup_lines(docs, LINES)
+    cleaned = line_dedup.dedup_lines(docs, LINES, LINE_WORDS)
     left = (F.col("n_deleted") == 0) | F.col("text").rlike(r"\S")
     changed = F.when(F.col("n_deleted") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return cleaned.where(left).withColumn("n_chars", changed).select(docs.columns)

@@ -77,19 +77,34 @@ def run_lengths(docs: DataFrame) -> DataFrame:
     return out.groupBy(*KEY, "at").agg(F.max("length").alias("lcp_floor"))
 
 
-def deleted_ranges(docs: DataFrame, lines: int) -> DataFrame:
+def repeated_lines(docs: DataFrame, words: int) -> DataFrame:
+    """doc, text_hash, at, first: every line of at least `words` words that stands at two places at least. Lines are compared
+    by 128 bits, as one line alone has no neighbour that would have to collide too."""
+    enough = rf"(\S+\s+){{{words - 1}}}\S"
+    slim = docs.where(F.col("text").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("text_hash"),
+        F.transform(F.split("text", "\n", -1), lambda line: F.when(line.rlike(enough), F.struct(F.xxhash64(line).alias("head"), F.xxhash64(F.lit(1), line).alias("head_2")))).alias("ids"),
+    )
+    lines = slim.dropDuplicates(KEY).select(*KEY, F.posexplode("ids").alias("at", "id")).where("id IS NOT NULL").select(*KEY, "at", "id.head", "id.head_2")
+    return lines.join(_repeated(lines, ["head", "head_2"]), ["head", "head_2"]).select(*KEY, "at", "first")
+
+
+def deleted_ranges(docs: DataFrame, lines: int, line_words: int | None = None) -> DataFrame:
     """doc, text_hash, starts, ends, n_deleted: the maximal ranges of lines (ends not included) that later copies cover."""
-    copies = repeated_runs(docs, lines).where(_is_copy()).select(*KEY, "at")
-    order = Window.partitionBy(*KEY).orderBy("at")
-    edge = F.coalesce(F.col("at") > F.lag("at").over(order) + lines, F.lit(True))
-    islands = copies.withColumn("edge", edge.cast("int")).withColumn("island", F.sum("edge").over(order))
-    ranges = islands.groupBy(*KEY, "island").agg(F.min("at").alias("begin"), (F.max("at") + lines).alias("end"))
+    copies = repeated_runs(docs, lines).where(_is_copy()).select(*KEY, "at", (F.col("at") + lines).alias("stop"))
+    if line_words is not None:
+        copies = copies.union(repeated_lines(docs, line_words).where(_is_copy()).select(*KEY, "at", (F.col("at") + 1).alias("stop")))
+    order = Window.partitionBy(*KEY).orderBy("at", "stop")
+    edge = F.coalesce(F.col("at") > F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    islands = copies.withColumn("edge", edge.cast("int")).withColumn("island", F.sum("edge").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    ranges = islands.groupBy(*KEY, "island").agg(F.min("at").alias("begin"), F.max("stop").alias("end"))
     per_doc = ranges.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("ranges"))
     return per_doc.select(*KEY, F.col("ranges.begin").alias("starts"), F.col("ranges.end").alias("ends"), F.aggregate("ranges", F.lit(0), lambda n, r: n + (r["end"] - r["begin"]).cast("int")).alias("n_deleted"))
 
 
-def dedup_lines(docs: DataFrame, lines: int = 2) -> DataFrame:
+def dedup_lines(docs: DataFrame, lines: int = 2, line_words: int | None = None) -> DataFrame:
     """`docs` with text less each run of at least `lines` (2 or more) lines that stood before, plus n_lines and n_deleted.
+    With `line_words`, a single line of at least so many words (1 or more) that stood before goes too, whatever its neighbours.
 
     Lines end at a line feed and are equal when their bytes are. The first place of a run, by doc_id and then line number,
     keeps it; in one text a second copy goes too. Null texts stay null with 0 lines, an empty text is one
@@ -99,7 +114,9 @@ def dedup_lines(docs: DataFrame, lines: int = 2) -> DataFrame:
     """
     if lines < 2:
         raise ValueError("runs have two lines or more")
-    gone = deleted_ranges(docs, lines)
+    if line_words is not None and line_words < 1:
+        raise ValueError("line_words must be positive")
+    gone = deleted_ranges(docs, lines, line_words)
     key = unused(docs, "doc", "text_hash", "starts", "ends", "n", "lines")
     gone = gone.select(F.col("doc").alias(key["doc"]), F.col("text_hash").alias(key["text_hash"]), F.col("starts").alias(key["starts"]), F.col("ends").alias(key["ends"]), F.col("n_deleted").alias(key["n"]))
     same = docs["doc_id"].cast("long").eqNullSafe(gone[key["doc"]]) & (F.xxhash64(docs["text"]) == gone[key["text_hash"]])

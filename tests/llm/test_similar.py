@@ -162,6 +162,21 @@ def test_lines_on_awkward_rows(spark):
         line_dedup.dedup_lines(docs, 1)
 
 
+def test_single_lines_that_are_long_enough_go_whatever_their_neighbours(spark):
+    rng, long, short = random.Random(6), "this line has five words", "only three words"
+    rows = [(i, "\n".join(x for j in range(rng.randrange(1, 5)) for x in (f"own {i} {j}", rng.choice((long, short, "  this has  four\twords "))))) for i in range(40)]
+    want, seen = [], set()
+    for i, text in rows:
+        left = []
+        for line in text.split("\n"):
+            if len(line.split()) < 4 or line not in seen:
+                left.append(line)
+            seen.add(line)
+        want.append((i, "\n".join(left)))
+    assert sorted((r.doc_id, r.text) for r in line_dedup.dedup_lines(table(spark, rows), 2, line_words=4).collect()) == want
+    assert sum(line_dedup.dedup_lines(table(spark, rows)).toPandas().n_deleted) == 0
+
+
 def test_run_lengths_double_to_the_longest(spark):
     rows = [(1, "a\nb\nc\nd\ne\nf"), (2, "x\na\nb\nc\nd\ny"), (3, "q\nb")]
     got = {(r.doc, r.at): r.lcp_floor for r in line_dedup.run_lengths(table(spark, rows)).collect()}

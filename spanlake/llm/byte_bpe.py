@@ -18,11 +18,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanlake.llm.chunks import Chunked, slices
+from spanlake.llm.chunks import REMEMBERED_CHARS, Chunked, Memory, slices
 
-PAIR_ENTRIES = 1_000_000
-PIECE_ENTRIES = 200_000
-CHUNK_ENTRIES = 200_000
+PAIR_ENTRIES = 500_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -40,7 +38,7 @@ class ByteBpe:
         self.automaton = ahocorasick.Automaton()
         self.shorter: dict[int, int | None] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.pieces = Memory()
         # A token that its own merges do not give back can only be a whole piece.
         sound = {w for w, r in ranks.items() if len(w) == 1 or self.merged(w) == [r]}
         for word in sound:
@@ -95,16 +93,18 @@ class ByteBpe:
                 return out
             rank = longest[at]
 
+    def encode_new(self, text: str) -> list[int]:
+        """The ids of a text that is not worth a place in the memory of pieces."""
+        return [i for piece in self.pattern.findall(text) for i in self.encode_piece(piece.encode())]
+
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
         for piece in self.pattern.findall(text):
             ids = self.pieces.get(piece)
             if ids is None:
                 ids = tuple(self.encode_piece(piece.encode()))
-                if len(piece) <= 64:
-                    if len(self.pieces) >= PIECE_ENTRIES:
-                        self.pieces.clear()
-                    self.pieces[piece] = ids
+                if len(piece) <= REMEMBERED_CHARS:
+                    self.pieces.keep(piece, ids, 8 * len(ids))
             out += ids
         return out
 
@@ -112,13 +112,13 @@ class ByteBpe:
         return b"".join(map(self.token.__getitem__, ids))
 
 
-_CODERS: dict[tuple, tuple[ByteBpe, dict]] = {}
+_CODERS: dict[tuple, tuple[ByteBpe, Memory]] = {}
 
 
-def coder(path: str, pattern: str) -> tuple[ByteBpe, dict]:
-    """One for each Python worker, with its memory of chunks."""
+def coder(path: str, pattern: str) -> tuple[ByteBpe, Memory]:
+    """One for each Python worker, with its memory of texts' pieces as digests need them."""
     if (path, pattern) not in _CODERS:
-        _CODERS[path, pattern] = (ByteBpe(load_ranks(path), pattern), {})
+        _CODERS[path, pattern] = (ByteBpe(load_ranks(path), pattern), Memory())
     return _CODERS[path, pattern]
 
 
@@ -133,20 +133,22 @@ def _digests(path: str, pattern: str):
         for batch in batches:
             for part in slices(batch, "text"):
                 texts = Chunked(part.column("text"), keep_space=True)
+                pieces, numbers, each = texts.pieces(fold=False)
                 found = []
-                for chunk in texts.chunks:
-                    x = known.get(chunk)
+                for piece in pieces.to_numpy(zero_copy_only=False).tolist():
+                    x = known.get(piece)
                     if x is None:
-                        ids = bpe.encode(chunk)
+                        ids = bpe.encode_new(piece)
                         x = (" ".join(map(str, ids)).encode(), bpe.decode(ids), len(ids))
-                        if len(chunk) <= 64:
-                            if len(known) >= CHUNK_ENTRIES:
-                                known.clear()
-                            known[chunk] = x
+                        if len(piece) <= REMEMBERED_CHARS:
+                            known.keep(piece, x, 200 + len(x[0]) + len(x[1]))
                     found.append(x)
-                sizes = np.concatenate([[0], np.cumsum(np.array([x[2] for x in found], np.int64)[texts.codes])]) if found else np.zeros(1, np.int64)
-                ids = _joined(pa.array([x[0] for x in found], pa.large_binary()), texts.codes, texts.offsets, b" ")
-                back = _joined(pa.array([x[1] for x in found], pa.large_binary()), texts.codes, texts.offsets, b"")
+                # What is known of pieces is put together for each distinct chunk, and this for each text.
+                ends = np.concatenate([[0], np.cumsum(each)])
+                whole = lambda i, by: _joined(_joined(pa.array([x[i] for x in found], pa.large_binary()), numbers, ends, by), texts.codes, texts.offsets, by)
+                sizes = np.concatenate([[0], np.cumsum(np.array([x[2] for x in found], np.int64)[numbers])])
+                sizes = np.concatenate([[0], np.cumsum(np.diff(sizes[ends])[texts.codes])])
+                ids, back = whole(0, b" "), whole(1, b"")
                 sha = lambda column: pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in column], pa.string())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(sizes[texts.offsets]), pa.int64()), sha(ids), sha(back)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

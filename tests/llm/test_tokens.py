@@ -1,6 +1,7 @@
 """Operators 2, 8 and 10 against the tokenizers themselves."""
 
 import base64
+import functools
 import hashlib
 import os
 import random
@@ -15,7 +16,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from spanlake.llm import byte_bpe, packing, token_store
-from spanlake.llm.chunks import Chunked, library_encoder, slices
+from spanlake.llm.chunks import ChunkEncoder, Chunked, Memory, library_encoder, slices
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
 P = pytest.importorskip("public_tokenizers")
@@ -30,6 +31,11 @@ def tokenizer(path):
     return made
 
 
+@functools.cache
+def tokenizer_of(path):
+    return tokenizer(path)
+
+
 @pytest.fixture(scope="module")
 def reference():
     import tiktoken
@@ -56,10 +62,43 @@ def test_chunks_encode_as_whole_texts(path, keep):
 @settings(max_examples=150, deadline=None)
 def test_chunks_give_the_texts_back(texts):
     parts = Chunked(pa.array(texts, pa.string()), keep_space=True)
-    back = ["".join(parts.chunks[c] for c in parts.codes[a:b]) for a, b in zip(parts.offsets, parts.offsets[1:])]
+    chunks = parts.chunks.to_pylist()
+    pieces, numbers, each = parts.pieces(fold=False)
+    ends = np.concatenate([[0], np.cumsum(each)])
+    assert ["".join(pieces[i].as_py() for i in numbers[a:b].tolist()) for a, b in zip(ends, ends[1:])] == chunks
+    back = ["".join(chunks[c] for c in parts.codes[a:b]) for a, b in zip(parts.offsets, parts.offsets[1:])]
     assert back == texts
 
 
+@pytest.mark.parametrize("path, keep", [(BYTE, True), (WORD, False)])
+def test_pieces_encode_as_whole_texts(path, keep):
+    """Cuts at letters, signs and line feeds, pieces many at a time, and a memory so small that it turns all the time."""
+    rng, whole = random.Random(11), tokenizer(path)
+    parts = ["a", "Bc", "don", "'s", "'ll", "'", "''", ",", ".", '."', "\n", "\n\n", "\t", "\r\n", " ", "  ", "0", "42", "é", "İ", "ı", "ǰ", "Σ", "\u0301", "e\u0301", "\u0307", "ŉ", "ſ", "½", "日", "\x00", "\u00a0", "\u2028", "_", "ß", "Å", "ſt", "ĳ"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 14))) for _ in range(6000)]
+    encoder = ChunkEncoder(path, keep, memory=20_000)
+    for lo in range(0, len(texts), 500):
+        ids, at = encoder(pa.array(texts[lo : lo + 500]))
+        for text, a, b in zip(texts[lo:], at, at[1:]):
+            assert ids[a:b].tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+@given(st.lists(st.text(max_size=30), max_size=5))
+@settings(max_examples=200, deadline=None)
+def test_any_text_encodes_as_the_whole(texts):
+    for path, keep in ((BYTE, True), (WORD, False)):
+        ids, at = library_encoder(path, keep)(pa.array(texts, pa.string()))
+        want = [x.ids for x in tokenizer_of(path).encode_batch(texts, add_special_tokens=False)]
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == want
+
+
+def test_memory_is_bounded_and_keeps_what_is_asked_again():
+    memory = Memory(10_000)
+    for i in range(1000):
+        memory.keep(str(i), i, 8)
+        assert memory.get("0") == 0 and len(memory.new) + len(memory.old) < 60
+
+
 def test_slices_keep_every_row():
     batch = pa.RecordBatch.from_arrays([pa.array(["x" * n for n in (5, 0, 50, 7, 7, 7)] + [None])], ["text"])
     assert [t for s in slices(batch, "text", 10) for t in s.column("text").to_pylist()] == batch.column("text").to_pylist()

@@ -38,7 +38,7 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.dedup_lines(_documents(spark, sf_dir), lines=2)
-    return cleaned.select("doc_id", "n_lines", "n_deleted", F.md5("text").alias("text_md5"))
+    return cleaned.select("doc_id", "n_lines", "n_deleted", "longest_run", F.md5("text").alias("text_md5"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

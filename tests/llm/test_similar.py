@@ -154,7 +154,7 @@ def test_lines_against_brute_force(spark, lines):
 def test_lines_on_awkward_rows(spark):
     docs = table(spark, clash=True).drop("n_lines", "n_deleted")
     got = line_dedup.dedup_lines(docs, 2)
-    assert got.columns == [*docs.columns, "n_lines", "n_deleted"] and got.count() == docs.count()
+    assert got.columns == [*docs.columns, "n_lines", "n_deleted", "longest_run"] and got.count() == docs.count()
     texts = {r.doc_id: (r.text, r.n_lines, r.n_deleted) for r in got.where("doc_id BETWEEN 14 AND 16").collect()}
     assert texts == {14: ("a\nb\nc\nd", 4, 0), 15: ("z\nq", 6, 4), 16: ("", 2, 2)}
     assert got.where("text IS NULL").count() == 2 and line_dedup.dedup_lines(empty(spark), 2).count() == 0
@@ -177,10 +177,38 @@ def test_single_lines_that_are_long_enough_go_whatever_their_neighbours(spark):
     assert sum(line_dedup.dedup_lines(table(spark, rows)).toPandas().n_deleted) == 0
 
 
-def test_run_lengths_double_to_the_longest(spark):
+def brute_longest(rows, lines):
+    """For each row the greatest length among `lines` and powers of two above it at which a run of it stood before."""
+    texts = sorted(((d, t) for d, t in rows), key=lambda r: r[0])
+    lengths, out = [lines] + [2**k for k in range(12) if 2**k > lines], {}
+    for n in lengths:
+        seen = set()
+        for doc, text in texts:
+            parts = text.split("\n")
+            for at in range(len(parts) - n + 1):
+                run = tuple(parts[at : at + n])
+                if run in seen:
+                    out[doc] = n
+                seen.add(run)
+    return {d: out.get(d, 0) for d, _ in rows}
+
+
+@pytest.mark.parametrize("lines", [2, 3, 4, 7])
+def test_doubling_goes_on_to_the_longest_run(spark, lines):
+    rng = random.Random(lines)
+    long = [rng.choice("abcdef") for _ in range(150)]
+    rows = [(i, "\n".join([*(rng.choice("abcdef") for _ in range(rng.randrange(3))), *long[rng.randrange(60) : rng.randrange(60, 150)], f"own {i}"])) for i in range(25)]
+    got = line_dedup.dedup_lines(table(spark, rows), lines)
+    assert {r.doc_id: r.longest_run for r in got.collect()} == brute_longest(rows, lines)
+
+
+def test_intervals_hold_all_places_of_a_run_and_its_first(spark):
     rows = [(1, "a\nb\nc\nd\ne\nf"), (2, "x\na\nb\nc\nd\ny"), (3, "q\nb")]
-    got = {(r.doc, r.at): r.lcp_floor for r in line_dedup.run_lengths(table(spark, rows)).collect()}
-    assert got == {(1, 0): 4, (1, 1): 2, (1, 2): 2, (1, 3): 1, (2, 1): 4, (2, 2): 2, (2, 3): 2, (2, 4): 1, (3, 1): 1}
+    got = {n: {(r.doc, r.at, r["first"].doc, r["first"].at) for r in places.collect()} for n, places in line_dedup.intervals(table(spark, rows))}
+    assert got == {
+        1: {(1, 0, 1, 0), (1, 1, 1, 1), (1, 2, 1, 2), (1, 3, 1, 3), (2, 1, 1, 0), (2, 2, 1, 1), (2, 3, 1, 2), (2, 4, 1, 3), (3, 1, 1, 1)},
+        2: {(1, 0, 1, 0), (1, 1, 1, 1), (1, 2, 1, 2), (2, 1, 1, 0), (2, 2, 1, 1), (2, 3, 1, 2)}, 4: {(1, 0, 1, 0), (2, 1, 1, 0)},
+    }
 
 
 # 3

@@ -12,6 +12,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +20,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanlake.llm.scratch import written
-from spanlake.llm.vectors import cosines, element_type, from_bytes, norms, to_bytes, to_matrix, usable, width_of
+from spanlake.llm.vectors import cosines, element_type, from_bytes, norms, to_bytes, to_matrix, usable
 
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS, SAMPLE_BYTES = 20_000, 64 << 20
 LEAF_ROWS = 800
+#: Bounds the forest that is broadcast: leaves of larger tables hold more rows and are split over more tasks.
 MOST_DEPTH = 10
-LEAST_ROWS = 40_000
 CHUNK_ROWS = 8_192
 TIE = 1e-9
 
@@ -131,18 +132,24 @@ def _nearest(k: int, dtype: str):
     def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
         if not queries.num_rows or not rows.num_rows:
             return empty
+        # Equal rows count once; an id that has several vectors is worth its best one.
+        rows = rows.group_by(["vec_id", "vector"]).aggregate([])
         q, v = (_scaled(from_bytes(t.column("vector"), dtype)) for t in (queries, rows))
         q_id, v_id = queries.column("vec_id").to_numpy(), rows.column("vec_id").to_numpy()
+        most = k * int(np.unique(v_id, return_counts=True)[1].max())
         out_q, out_v, out_s = [], [], []
         unit_v = _unit(v)
         for lo in range(0, len(q), 256):
             near = _unit(q[lo : lo + 256]) @ unit_v.T
             near[q_id[lo : lo + 256, None] == v_id[None, :]] = -np.inf
-            kth = np.partition(near, -k, axis=1)[:, -k] if near.shape[1] > k else np.full(len(near), -2.0)
+            kth = np.partition(near, -most, axis=1)[:, -most] if near.shape[1] > most else np.full(len(near), -2.0)
             i, j = np.nonzero(near >= np.maximum(kth, -2.0)[:, None] - TIE)
             exact = cosines(q[lo + i], v[j])
             order = np.lexsort((v_id[j], -exact, i))
             i, j, exact = i[order], j[order], exact[order]
+            seen = i * len(v_id) + np.unique(v_id, return_inverse=True)[1][j]
+            once = np.sort(np.unique(seen, return_index=True)[1])
+            i, j, exact = i[once], j[once], exact[once]
             place = np.arange(len(i)) - np.searchsorted(i, i)
             best = place < k
             out_q.append(q_id[lo + i[best]])
@@ -159,30 +166,40 @@ def nearest(
 ) -> DataFrame:
     """query_id, rank, vec_id, score: for each row of `vectors` where is_query holds, the k rows of largest cosine found.
 
-    A query's own vec_id is no candidate; ties go to the smaller vec_id; repeated vec_ids count once. Null vec_ids and
-    vectors that are null, zero, of another width than most, or hold null or non-finite components take no part.
-    `share`: the rows that a query inspects, counted once for each tree, as a share of all rows, and
-    LEAST_ROWS at least. An empty table gives an empty result. Other columns are ignored.
+    A query's own vec_id is no candidate; ties go to the smaller vec_id; repeated vec_ids count once, with their best score, as queries
+    and as candidates. Null vec_ids and vectors that are null, zero or hold null or non-finite components take no part; vectors
+    are compared with those of their own width, each width having a forest of its own. `share`: the rows that a query
+    inspects, counted once for each tree, as a share of all rows, at every size of the table. An empty table gives an
+    empty result. Other columns are ignored.
 
-    The forest is fitted on at most `sample_rows` rows (smallest hashes of vec_id) and has trees * 2 ** MOST_DEPTH
-    leaves at most, so its broadcast is bounded; every row is in the index. Groups of a leaf's rows and queries are
-    split beyond CHUNK_ROWS.
+    A forest is fitted on at most `sample_rows` rows (smallest hashes of vec_id), fewer where vectors are so wide that these would pass
+    SAMPLE_BYTES, and has trees * 2 ** MOST_DEPTH leaves at most, so its broadcast is bounded; every row is in the index. Groups of a
+    leaf's rows and queries are split beyond CHUNK_ROWS.
     """
-    spark, dtype, width = vectors.sparkSession, element_type(vectors, column), width_of(vectors, column)
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(column).alias("vector"), is_query.alias("asks")).where(F.col("vec_id").isNotNull() & usable(F.col("vector")) & (F.size("vector") == width))
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("vector").collect()
-    if not sample:
+    spark, dtype = vectors.sparkSession, element_type(vectors, column)
+    every = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(column).alias("vector"), is_query.alias("asks")).where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
+    widths = {r["width"]: r["count"] for r in every.groupBy(F.size("vector").alias("width")).count().collect()}  # as a rule one
+    found = [_nearest_of_width(every.where(F.size("vector") == w), n, w, dtype, k, trees, share, sample_rows, leaf_rows, seed) for w, n in sorted(widths.items())]
+    if not found:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    total = rows.count()
+    once = reduce(DataFrame.union, found).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _nearest_of_width(rows: DataFrame, total: int, width: int, dtype: str, k: int, trees: int, share: float, sample_rows: int, leaf_rows: int, seed: int) -> DataFrame:
+    spark = rows.sparkSession
+    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(max(1, min(sample_rows, SAMPLE_BYTES // (8 * width)))).select("vector")
+    flat = np.concatenate([b.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False) for b in [sample.toArrow()]]).astype(np.float64)
     depth = min(MOST_DEPTH, max(0, int(np.log2(max(1, total / leaf_rows)))))
-    model = fit(_unit(_scaled(np.array([r["vector"] for r in sample], np.float64))), trees, depth, seed)
+    model = fit(_unit(_scaled(flat.reshape(-1, width))), trees, depth, seed)
     forest = spark.sparkContext.broadcast(model)
     schema = "vec_id long, tree int, leaf int, vector binary"
     index = written(rows.select("vec_id", "vector").mapInArrow(_dealt(forest, dtype), schema), "forest")
     sizes = np.zeros((trees, model.leaves), np.int64)
     for r in index.groupBy("tree", "leaf").count().collect():  # at most trees * 2 ** depth rows
         sizes[r["tree"], r["leaf"]] = r["count"]
-    budget = max(int(share * total), LEAST_ROWS)
+    budget = max(1, int(share * total))
     asked = written(rows.where(F.coalesce("asks", F.lit(False))).select("vec_id", "vector").mapInArrow(_routed(forest, spark.sparkContext.broadcast(sizes), budget, dtype), schema), "asked")
     chosen = {(r["tree"], r["leaf"]): r["count"] for r in asked.groupBy("tree", "leaf").count().collect()}
     cuts = [(t, x, max(1, -(-int(sizes[t, x]) // CHUNK_ROWS)), max(1, -(-chosen[t, x] // CHUNK_ROWS))) for t, x in chosen]
@@ -193,7 +210,4 @@ def nearest(
     keys = ["tree", "leaf", "row_part", "query_part"]
     left = asked.join(parts, ["tree", "leaf"]).select("tree", "leaf", q_all.alias("row_part"), q_own.alias("query_part"), "vec_id", "vector")
     right = index.join(parts, ["tree", "leaf"]).select("tree", "leaf", r_own.alias("row_part"), r_all.alias("query_part"), "vec_id", "vector")
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_nearest(k, dtype), "query_id long, vec_id long, score double")
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_nearest(k, dtype), "query_id long, vec_id long, score double")

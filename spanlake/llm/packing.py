@@ -67,35 +67,24 @@ def shortest_pack_first(histogram: dict[int, int], length: int) -> list[tuple[li
     """
     room: dict[int, list[tuple[list[int], int]]] = defaultdict(list)
     for size in sorted(histogram, reverse=True):
-        left, changed = histogram[size], []
-        for space in sorted((s for s in room if s >= size), reverse=True):
-            kinds = room[space]
-            while kinds and left:
-                pattern, count = kinds.pop()
-                fits = space // size
-                if left >= count * fits:
-                    changed.append((space - fits * size, (pattern + [size] * fits, count)))
-                    left -= count * fits
-                    continue
-                full, rest = divmod(left, fits)
-                if full:
-                    changed.append((space - fits * size, (pattern + [size] * fits, full)))
-                if rest:
-                    changed.append((space - rest * size, (pattern + [size] * rest, 1)))
-                if count > full + bool(rest):
-                    kinds.append((pattern, count - full - bool(rest)))
-                left = 0
-            if not left:
-                break
+        left = histogram[size]
+        while left and room and (space := max(room)) >= size:
+            # One piece for each of the emptiest packs; those that got one are looked at again with what room they have left.
+            pattern, count = room[space].pop()
+            if not room[space]:
+                del room[space]
+            if count > left:
+                room[space].append((pattern, count - left))
+            taken = min(count, left)
+            room[space - size].append((pattern + [size], taken))
+            left -= taken
         if left:
-            fits = length // size
+            fits = length // size  # a new pack is the emptiest until it has no room for one more
             full, rest = divmod(left, fits)
             if full:
-                changed.append((length - fits * size, ([size] * fits, full)))
+                room[length - fits * size].append(([size] * fits, full))
             if rest:
-                changed.append((length - rest * size, ([size] * rest, 1)))
-        for space, kind in changed:
-            room[space].append(kind)
+                room[length - rest * size].append(([size] * rest, 1))
     return [kind for space in sorted(room) for kind in room[space]]
 
 

@@ -11,10 +11,13 @@ _OWN: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; where that is unset (tests), one of our own."""
+    """The folder named in spark.checkpoint.dir. Where that is unset one of our own, if all runs on this machine (as in tests);
+    executors elsewhere could not read it, so a cluster without the setting is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors and the driver share")
     if not _OWN:
         _OWN.append("file://" + tempfile.mkdtemp(prefix="spanlake-"))
     return _OWN[0]

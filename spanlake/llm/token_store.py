@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from spanlake.llm.chunks import library_encoder, release, slices
 
 BLOCK_IDS = 1 << 16
+PACK_IDS = 1 << 16
 BLOCK_SCHEMA = "shard int, block int, bits int, n_ids long, payload binary, docs array<struct<doc_id: long, at: long, n_tokens: long>>"
 _ARROW = pa.schema(
     [("shard", pa.int32()), ("block", pa.int32()), ("bits", pa.int32()), ("n_ids", pa.int64()), ("payload", pa.binary()),
@@ -34,6 +35,8 @@ def bits_for(vocabulary: int) -> int:
 def pack(ids: np.ndarray, bits: int) -> bytes:
     if bits in (8, 16, 32):
         return ids.astype(f"<u{bits // 8}").tobytes()
+    if len(ids) > PACK_IDS:  # whole bytes each, as PACK_IDS is a multiple of 8
+        return b"".join(pack(ids[i : i + PACK_IDS], bits) for i in range(0, len(ids), PACK_IDS))
     spread = (ids.astype(np.uint64)[:, None] >> np.arange(bits, dtype=np.uint64)) & np.uint64(1)
     return np.packbits(spread.astype(np.uint8).ravel(), bitorder="little").tobytes()
 
@@ -82,13 +85,13 @@ def _blocks(path: str, keep_space: bool, end: int | None, block_ids: int):
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int | None = 2, keep_space: bool = True, shards: int | None = None, block_ids: int = BLOCK_IDS) -> None:
     """Encode `text` of every document (null: empty) and write a store to `path`, in ascending doc_id order.
 
-    Null doc_ids come first and equal ones stand next to each other; other columns are not kept; an empty
+    Null doc_ids come first, and rows of one doc_id go by their text (null first); other columns are not kept; an empty
     table gives a store without blocks. A text stays whole in one block, so the largest block is `block_ids` ids and
     one document more. The raw texts are dealt by ranges of doc_id before they are encoded, so each is
     encoded once and nothing larger than text moves.
     """
     n = shards or max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
+    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
     dealt.mapInArrow(_blocks(tokenizer, keep_space, end, block_ids), BLOCK_SCHEMA).write.option("compression", "uncompressed").parquet(path)
 
 
@@ -134,8 +137,12 @@ def document_digests(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_range(spark: SparkSession, path: str, doc_id: int, first: int, count: int) -> np.ndarray:
-    """Random access: ids first .. first + count of one document."""
+    """Random access: ids first .. first + count of one document (fewer where it ends), the first by text if several rows have
+    its doc_id. KeyError if none has. Only the block with the document is unpacked, and of it only these ids."""
     blocks = read_blocks(spark, path)
-    row = blocks.where(F.exists("docs", lambda d: d["doc_id"] == doc_id)).select("bits", "payload", F.expr(f"filter(docs, d -> d.doc_id = {int(doc_id)})[0]").alias("doc")).limit(1).collect()[0]
-    count = max(0, min(count, row["doc"]["n_tokens"] - first))
-    return unpack(row["payload"], row["bits"], row["doc"]["at"] + first, count)
+    places = blocks.select("shard", "block", F.inline("docs")).where(F.col("doc_id") == doc_id)
+    place = places.orderBy("shard", "block", "at").first()
+    if place is None:
+        raise KeyError(doc_id)
+    row = blocks.where((F.col("shard") == place["shard"]) & (F.col("block") == place["block"])).select("bits", "payload").first()
+    return unpack(row["payload"], row["bits"], place["at"] + first, max(0, min(count, place["n_tokens"] - first)))

@@ -8,6 +8,7 @@ P(grade >= k) = sigmoid(w x - threshold k). Scoring sums one number for each dis
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -30,6 +31,7 @@ LEAST_ROWS = 4
 GRADES = 3
 REJECT = 0.5
 LETTERS = re.compile(r"[^\W\d_]+")
+#: A longer word is named by its beginning and a digest of the whole.
 WORD_CHARS = 64
 
 
@@ -37,8 +39,7 @@ def features_of(token: str) -> list[str]:
     """Words of letters in the token, and their beginnings of 5 to 8 letters (marked by a star)."""
     out = []
     for word in LETTERS.findall(token.lower()):
-        word = word[:WORD_CHARS]
-        out.append(word)
+        out.append(word if len(word) <= WORD_CHARS else f"{word[:8]}-{hashlib.blake2b(word.encode(), digest_size=16).hexdigest()}")
         out += [word[:n] + "*" for n in range(5, min(8, len(word)) + 1)]
     return out
 
@@ -145,12 +146,14 @@ def fit_ordinal(grade: np.ndarray, indices: np.ndarray, pointers: np.ndarray, de
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, features: int = FEATURES) -> Model | None:
     """Fit on at most `sample_rows` labelled rows (smallest hashes of doc_id); None if they lack toxic or clean rows.
 
-    Only that sample, its chosen features and the counts of these come to the driver, all bounded by the parameters.
+    Of rows with the same doc_id one counts, that of the least text; a doc_id with several labels is toxic if one says so. Null ids, texts
+    and labels other than 0 and 1 take no part. Only that sample, its chosen features and the counts of these come to the driver, all
+    bounded by the parameters.
     """
     spark = docs.sparkSession
     marked = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     picked = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id").select("text", "toxic").persist()
+    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic").persist()
     try:
         total = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
         toxic, clean = total.get(1, 0), total.get(0, 0)

@@ -15,13 +15,6 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.coalesce(F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def width_of(vectors: DataFrame, column: str) -> int:
-    """The commonest size among usable vectors (the smaller of two as common), 0 without any."""
-    sizes = vectors.where(usable(F.col(column))).groupBy(F.size(column).alias("n")).count()
-    row = sizes.orderBy(F.desc("count"), "n").first()
-    return row["n"] if row else 0
-
-
 def element_type(vectors: DataFrame, column: str) -> str:
     """Numpy's name of the components: floats stay 4 bytes, all others become doubles."""
     return "<f4" if isinstance(vectors.schema[column].dataType.elementType, T.FloatType) else "<f8"

@@ -164,7 +164,7 @@ def test_pipeline_stages_work_on_what_the_ones_before_kept(spark, tmp_path):
     from test_similar import brute_jaccard, brute_lines
 
     rows = [(r.doc_id, r.text) for r in kept[1].collect()]
-    want = {rows[i][0]: t for i, t in brute_lines(rows, 2).items() if t.strip() or t == rows[i][1]}
+    want = {rows[i][0]: t for i, t in brute_lines(rows, corpus_pipeline.LINES, corpus_pipeline.LINE_WORDS).items() if t.strip() or t == rows[i][1]}
     assert {r.doc_id: r.text for r in kept[2].collect()} == want
     groups = brute_jaccard([(r.doc_id, r.text) for r in kept[2].collect()], 5, 80)
     assert ids[3] == {c for _, _, c in groups}

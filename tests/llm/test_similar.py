@@ -117,7 +117,7 @@ def test_overlap_bound():
 # 5
 
 
-def brute_lines(rows, lines):
+def brute_lines(rows, lines, words=None):
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0))
     seen, gone, out = set(), defaultdict(set), {}
     done = {}
@@ -135,6 +135,11 @@ def brute_lines(rows, lines):
             if run in seen:
                 gone[i] |= set(range(at, at + lines))
             seen.add(run)
+        for at, line in enumerate(parts if words else ()):
+            if re.search(rf"(\S+\s+){{{words - 1}}}\S", line, re.ASCII):
+                if (line,) in seen:
+                    gone[i].add(at)
+                seen.add((line,))
     for i, (doc, text) in enumerate(rows):
         out[i] = None if text is None else "\n".join(p for j, p in enumerate(text.split("\n")) if j not in gone[i])
     return out
@@ -373,8 +378,7 @@ def test_nearest_against_brute_force(spark, clash):
     assert set(got) == set(range(0, 400, 50))
 
 
-def test_nearest_recall_where_not_all_is_inspected(spark, monkeypatch):
-    monkeypatch.setattr(ann, "LEAST_ROWS", 100)
+def test_nearest_recall_where_not_all_is_inspected(spark):
     x = np.random.default_rng(3).standard_normal((3000, 16))
     rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
     found = ann.nearest(vectors(spark, rows, "double"), F.col("vec_id") % 50 == 0, k=5, leaf_rows=60, share=1.5).collect()
@@ -387,6 +391,20 @@ def test_nearest_recall_where_not_all_is_inspected(spark, monkeypatch):
     assert hits / 300 >= 0.9
 
 
+def test_repeated_rows_and_ids_are_one_neighbour(spark):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((60, 8))
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)] * 3 + [(7, (-x[7]).tolist(), 0), (8, x[9].tolist(), 0)] + [(200 + i, v.tolist(), 0) for i, v in enumerate(rng.standard_normal((9, 5)))]
+    found = ann.nearest(vectors(spark, rows, "double"), F.col("vec_id") % 50 == 0, k=5, leaf_rows=10, share=100.0).collect()
+    held = defaultdict(list)
+    for i, v, _ in rows:
+        held[i].append(np.array(v) / np.linalg.norm(v))
+    for q in (0, 50, 200):
+        best = {i: max(v @ held[q][0] for v in vs) for i, vs in held.items() if i != q and len(vs[0]) == len(held[q][0])}
+        want = sorted(best, key=lambda i: (-round(best[i], 12), i))[:5]
+        assert [v for _, v in sorted((r["rank"], r.vec_id) for r in found if r.query_id == q)] == want
+
+
 def test_nearest_with_few_candidates(spark):
     one = vectors(spark, [(0, [1.0, 0.0], 0), (50, [0.0, 1.0], 0), (7, [1.0, 1.0], 0)])
     got = sorted((r.query_id, r["rank"], r.vec_id) for r in ann.nearest(one, F.col("vec_id") % 50 == 0).collect())

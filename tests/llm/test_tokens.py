@@ -125,7 +125,7 @@ def test_store_gives_every_document_back(spark, tmp_path, clash):
     path = str(tmp_path / "store")
     token_store.write_tokens(docs, path, BYTE, shards=3, block_ids=100)
     got = [tuple(r) for r in token_store.document_digests(spark, path).orderBy("start").collect()]
-    rows = sorted(((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()), key=lambda r: (r[0] is not None, r[0] or 0))
+    rows = sorted(((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
     want, start = [], 0
     for doc_id, text in rows:
         ids = whole.encode(text or "", add_special_tokens=False).ids + [2]
@@ -133,6 +133,9 @@ def test_store_gives_every_document_back(spark, tmp_path, clash):
         start += len(ids)
     assert sorted((r[0] or -1, r[2], r[3]) for r in got) == sorted((i or -1, n, c) for i, n, c in want)
     assert [r[0] for r in got] == [i for i, _, _ in want]
+    assert [r[2:] for r in got] == [(n, c) for _, n, c in want]
+    with pytest.raises(KeyError):
+        token_store.read_range(spark, path, 123_456, 0, 1)
     assert [r[1] for r in got] == np.concatenate([[0], np.cumsum([r[2] for r in got])])[:-1].tolist() and got[-1][1] + got[-1][2] == start
     assert token_store.read_range(spark, path, 1, 3, 5).tolist() == (whole.encode(dict(rows)[1], add_special_tokens=False).ids + [2])[3:8]
 
@@ -159,6 +162,23 @@ def test_packs_hold_all_pieces_and_no_more_than_fits(histogram):
         assert spans[0][0] == 0 and spans[-1][1] == histogram[size] - 1 and all(x[1] + 1 == y[0] for x, y in zip(spans, spans[1:]))
 
 
+def piece_by_piece(histogram, length):
+    """Shortest pack first as defined: each piece, longest first, into the emptiest pack if it fits there, else into a new one."""
+    packs = []
+    for size in sorted((s for s, n in histogram.items() for _ in range(n)), reverse=True):
+        if packs and min(packs) + size <= length:
+            packs[packs.index(min(packs))] += size
+        else:
+            packs.append(size)
+    return sorted(packs)
+
+
+@given(st.dictionaries(st.integers(1, 64), st.integers(1, 40), max_size=25))
+@settings(max_examples=300, deadline=None)
+def test_packs_are_those_of_one_piece_at_a_time(histogram):
+    assert sorted(sum(p) for p, n in packing.shortest_pack_first(histogram, 64) for _ in range(n)) == piece_by_piece(histogram, 64)
+
+
 @pytest.mark.parametrize("clash", [False, True])
 def test_packed_sequences_have_no_gaps_and_every_id(spark, clash):
     docs, whole = table(spark, clash=clash), tokenizer(WORD)

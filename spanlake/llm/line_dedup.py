@@ -30,10 +30,10 @@ def line_ids(docs: DataFrame) -> DataFrame:
 
 
 def _repeated(runs: DataFrame, names: list[str]) -> DataFrame:
-    """The names that at least two positions have, with the first of these. Written, so that the join with the positions
-    reads two plain shuffles and Spark can split a very common name over tasks."""
+    """The names that at least two positions have, with the first of these. To be written before a join with the positions: that
+    reads two plain shuffles then, and Spark can split a very common name over tasks."""
     place = F.struct(F.col("doc").isNull().alias("unknown"), "doc", "text_hash", "at")
-    return written(runs.groupBy(*names).agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1"), "names")
+    return runs.groupBy(*names).agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
 
 
 def _is_copy():
@@ -50,29 +50,27 @@ def _paired(runs: DataFrame, gap: int) -> DataFrame:
 def _named(pairs: DataFrame) -> DataFrame:
     """The pairs that repeat, under one rank each, in the order of the ranks of their halves. A sort by ranges gives the ranks:
     the number of a row in its range and of the range are one long, so no task sorts all, and they are written, so they stay."""
-    names = ["head", "rank", "head_2", "rank_2"]
+    names, pairs = ["head", "rank", "head_2", "rank_2"], written(pairs, "pairs")
     ordered = _repeated(pairs, names).repartitionByRange(*names).sortWithinPartitions(*names)
     ranked = written(ordered.withColumn("new_rank", F.monotonically_increasing_id()), "ranks")
-    return pairs.join(ranked, names).select(*KEY, "at", "head", F.col("new_rank").alias("rank"), "first")
+    runs = written(pairs.join(ranked, names).select(*KEY, "at", "head", F.col("new_rank").alias("rank"), "first"), "runs")
+    discard(pairs)
+    discard(ranked)
+    return runs
 
 
 def intervals(docs: DataFrame, lines: int = 1) -> Iterator[tuple[int, DataFrame]]:
     """(length, places) for `lines` and each length 2 ** k above it, until no run of the length repeats. places: doc, text_hash,
     at, first: where a run of exactly so many lines begins that stands at two places at least, and its first place by doc_id
-    (a null id last), text hash and line number. A caller is done with one when it asks for the next."""
+    (a null id last), text hash and line number."""
     ids = line_ids(docs).select(*KEY, F.posexplode("ids").alias("at", "head")).withColumn("rank", F.lit(0).cast("long"))
-    runs, length = written(ids.join(_repeated(ids, ["head"]), "head").select(*KEY, "at", "head", "rank", "first"), "runs"), 1
+    runs, length = written(ids.join(written(_repeated(ids, ["head"]), "names"), "head").select(*KEY, "at", "head", "rank", "first"), "runs"), 1
     while not runs.isEmpty():
         if length >= lines:
             yield length, runs
         elif length * 2 > lines:
-            between = written(_named(_paired(runs, lines - length)), "runs")
-            yield lines, between
-            discard(between)
-        longer = written(_named(_paired(runs, length)), "runs")
-        discard(runs)
-        runs, length = longer, length * 2
-    discard(runs)
+            yield lines, _named(_paired(runs, lines - length))
+        runs, length = _named(_paired(runs, length)), length * 2
 
 
 def copied_runs(docs: DataFrame, lines: int) -> DataFrame:
@@ -80,7 +78,7 @@ def copied_runs(docs: DataFrame, lines: int) -> DataFrame:
     greatest length asked for in `intervals` at which it did, and the first place of that run."""
     found = None
     for length, places in intervals(docs, lines):
-        copies = written(places.where(_is_copy()).select(*KEY, "at", F.lit(length).alias("length"), "first"), "copies")
+        copies = places.where(_is_copy()).select(*KEY, "at", F.lit(length).alias("length"), "first")
         found = copies if found is None else found.union(copies)
     if found is None:
         empty = "doc long, text_hash long, at int, length int, first struct<unknown: boolean, doc: long, text_hash: long, at: int>"
@@ -98,7 +96,7 @@ def repeated_lines(docs: DataFrame, words: int) -> DataFrame:
         F.transform(F.split("text", "\n", -1), lambda line: F.when(line.rlike(enough), F.struct(F.xxhash64(line).alias("head"), F.xxhash64(F.lit(1), line).alias("head_2")))).alias("ids"),
     )
     lines = slim.dropDuplicates(KEY).select(*KEY, F.posexplode("ids").alias("at", "id")).where("id IS NOT NULL").select(*KEY, "at", "id.head", "id.head_2")
-    return lines.join(_repeated(lines, ["head", "head_2"]), ["head", "head_2"]).select(*KEY, "at", "first")
+    return lines.join(written(_repeated(lines, ["head", "head_2"]), "names"), ["head", "head_2"]).select(*KEY, "at", "first")
 
 
 def deleted_ranges(docs: DataFrame, lines: int, line_words: int | None = None) -> DataFrame:

@@ -44,8 +44,15 @@ def orphans(rows: DataFrame, parents: DataFrame, key: list[str]) -> DataFrame:
 
 
 def rank_inversions(rows: DataFrame, rank: str, score: str) -> DataFrame:
-    """Rows whose score exceeds that of a better rank."""
-    return rows.withColumn("best_after", F.max(score).over(Window.orderBy(F.col(rank).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow))).where(F.col(score) < F.col("best_after"))
+    """Rows whose score is below that of a worse rank, with the best such score (best_after). Ranges of ranks are worked on apart; a row a
+    range, its best score, is carried over to those of better ranks."""
+    dealt = rows.repartitionByRange(F.col(rank).desc()).withColumn("__part", F.spark_partition_id())
+    tops = dealt.groupBy("__part").agg(F.max(score).alias("__top"))
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = F.broadcast(tops.select("__part", F.max("__top").over(earlier).alias("__before")))
+    inside = Window.partitionBy("__part").orderBy(F.col(rank).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    best = dealt.withColumn("__here", F.max(score).over(inside)).join(carried, "__part").withColumn("best_after", F.greatest("__here", "__before"))
+    return best.where(F.col(score) < F.col("best_after")).select(*rows.columns, "best_after")
 
 
 def conservation(parts: DataFrame, whole: DataFrame, key: list[str], part: str, total: str) -> DataFrame:

@@ -339,10 +339,10 @@ def outcome_counts(spark, sf_dir):
 
 
 @query("""SELECT p_partkey, p_brand AS description, count(l_orderkey) AS lines, CAST(coalesce(sum(l_quantity), 0) AS BIGINT) AS quantity, coalesce(max(l_quantity), 0) AS most
-FROM part LEFT JOIN lineitem ON l_partkey = p_partkey AND l_quantity > 45 GROUP BY p_partkey, p_brand""")
+FROM part LEFT JOIN lineitem ON l_partkey = p_partkey GROUP BY p_partkey, p_brand""")
 def usage_left_join(spark, sf_dir):
     parts = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("description"))
-    lines = table(spark, sf_dir, "lineitem").where("l_quantity > 45").select(F.col("l_partkey").alias("p_partkey"), "l_orderkey", "l_quantity")
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_orderkey", "l_quantity")
     return gold.usage(parts, lines, "p_partkey", lines=F.count("l_orderkey"), quantity=F.coalesce(F.sum("l_quantity"), F.lit(0)).cast("long"), most=F.coalesce(F.max("l_quantity"), F.lit(0.0)))
 
 

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from spanlake.functions.expr import first_by, instant, last_by, ratio, seconds
 from spanlake.operators import windows
-from spanlake.operators.joins import as_of, within
+from spanlake.operators.joins import as_of, within_buckets
 from spanlake.sources.landing import Reference
 
 LOAD = ["session_id", "page_load_seq"]
 SLACK_MS = 1_500
+#: Width of the time buckets in which events and runs meet.
+BUCKET_MS = 60_000
 #: Event names.
 KILLS = ("CROW_KILLED", "SKELETON_KILLED")
 SHOTS = ("WEAPON_FIRED", "ICE_BOLT_FIRED")
@@ -97,7 +99,7 @@ def run_pulse(pulses: DataFrame, states: DataFrame) -> DataFrame:
 
 def run_events(events: DataFrame, pulses: DataFrame) -> DataFrame:
     runs = pulses.groupBy("run_id", *LOAD, "character_key").agg(F.min("srv").alias("s0"), F.max("srv").alias("s1"))
-    found = within(events.select(*LOAD, "message", F.col("timestamp").alias("ts")), runs, LOAD, "ts", "s0", "s1", SLACK_MS)
+    found = within_buckets(events.select(*LOAD, "message", F.col("timestamp").alias("ts")), runs, LOAD, "ts", "s0", "s1", BUCKET_MS, SLACK_MS)
     return found.select("run_id", "character_key", "message", "ts")
 
 

@@ -57,7 +57,7 @@ def rules(records: DataFrame, reference: Reference, strict: bool = False) -> lis
         rule(F.col("srv").isNull(), "landed", "srv_missing", F.lit("srv IS NULL")),
     ]
     if MALFORMED in records.columns:
-        out.append(rule(F.col(MALFORMED).isNotNull(), "landed", "malformed_json", F.substring(MALFORMED, 1, 200)))
+        out.append(rule(F.col(MALFORMED).isNotNull(), "landed", "malformed_json", F.col(MALFORMED)))
     if strict:
         out.append(rule(~kind.isin(*RECORD_KINDS), "landed_fields", "kind_not_in_contract", _told("kind", kind)))
         out.append(rule((kind == "beat") & ~F.col("vis").isin(*VISIBILITIES), "beats", "visibility_not_in_contract", _told("vis", F.col("vis"))))

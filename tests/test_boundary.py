@@ -1,5 +1,6 @@
 """Sanitizing, publishing, loading, exporting and streaming."""
 
+import random
 import json
 
 import pytest
@@ -174,3 +175,17 @@ def test_quality_checks_find_what_is_wrong_and_only_that(spark):
     ranks = spark.createDataFrame([(1, 9), (2, 5), (3, 7)], "r int, s int")
     assert [r.r for r in quality.rank_inversions(ranks, "r", "s").collect()] == [2]
     assert quality.insane_runs(spark.createDataFrame([(1, 2.0, 5, 4, 1.0), (1, 2.0, 4, 5, 1.0)], "kills long, duration_s double, started_srv long, ended_srv long, sim_active_s double")).count() == 1
+
+
+def test_rank_inversions_over_ranges(spark):
+    from spanlake.operators import quality
+
+    rng = random.Random(4)
+    rows = [(i, rng.randrange(50)) for i in range(300)]
+    best, want = None, set()
+    for rank, score in reversed(rows):
+        best = score if best is None else max(best, score)
+        if score < best:
+            want.add((rank, score, best))
+    got = quality.rank_inversions(spark.createDataFrame(rows, "place int, score int").repartition(7), "place", "score")
+    assert {tuple(r) for r in got.collect()} == want and got.columns == ["place", "score", "best_after"]

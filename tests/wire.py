@@ -7,7 +7,7 @@ T0 = 1788100000000
 
 
 def pulse(state="playing", **more):
-    base = dict(state=state, mode="brawl", map="forest", char="archer", t=1.0, lastTs=1, live=True, held=0, hp=9, kills=0, crows=0, skels=0, soldiers=0, arrows=0, boss=None)
+    base = dict(state=state, mode="brawl", map="harbour", char="archer", t=2.5, lastTs=4, live=True, held=0, hp=12, kills=0, crows=0, skels=0, soldiers=0, arrows=0, boss=None)
     return base | more
 
 

@@ -45,12 +45,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def hide_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Private values replaced by pseudonyms of the same format."""
+    """Private values replaced by pseudonyms of the same format. Every row stays, null texts too; n_chars follows the text."""
     small_batches(spark)
-    return private.pseudonymise(docs, KEY, counts=False)
+    hidden = private.pseudonymise(docs, KEY, counts=False)
+    return hidden.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their sequence and offset; a null or empty text is the end id alone."""
     small_batches(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end=1, length=SEQUENCE)
 

@@ -161,7 +161,7 @@ def _nearest(k: int, dtype: str):
 
 
 def nearest(
-    vectors: DataFrame, is_query: Column, k: int = 5, column: str = "embedding", trees: int = 8, share: float = 1.0,
+    vectors: DataFrame, is_query: Column, k: int = 5, column: str = "embedding", trees: int = 8, share: float = 1.5,
     sample_rows: int = SAMPLE_ROWS, leaf_rows: int = LEAF_ROWS, seed: int = 7,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: for each row of `vectors` where is_query holds, the k rows of largest cosine found.

@@ -414,6 +414,29 @@ def test_repeated_rows_and_ids_are_one_neighbour(spark):
         assert [v for _, v in sorted((r["rank"], r.vec_id) for r in found if r.query_id == q)] == want
 
 
+def recall(spark, folder, every=1):
+    """Of the query's neighbours of its vectors (each `every`-th of them), how many are among the nearest by brute force."""
+    from spanlake.llm import queries
+
+    found = defaultdict(set)
+    for r in queries.op1_nearest(spark, folder).collect():
+        found[r.query_id].add(r.vec_id)
+    rows = {r.vec_id: np.array(r.embedding, float) for r in spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding").collect() if r.embedding and None not in r.embedding}
+    rows = {i: v for i, v in rows.items() if np.isfinite(v).all() and v.any()}
+    ids, unit = np.array(list(rows)), np.array([v / np.linalg.norm(v) for v in rows.values()])
+    hits, asked = 0, [i for i in rows if i % 50 == 0][::every]
+    for q in asked:
+        near = unit @ unit[np.flatnonzero(ids == q)[0]]
+        near[ids == q] = -2
+        hits += min(5, len(found[q] & set(ids[near >= np.sort(near)[-5] - 1e-9].tolist())))
+    return hits / (5 * len(asked))
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_recall_of_the_query_on_the_given_tables(spark, folder):
+    assert recall(spark, folder) >= 0.9
+
+
 def test_nearest_with_few_candidates(spark):
     one = vectors(spark, [(0, [1.0, 0.0], 0), (50, [0.0, 1.0], 0), (7, [1.0, 1.0], 0)])
     got = sorted((r.query_id, r["rank"], r.vec_id) for r in ann.nearest(one, F.col("vec_id") % 50 == 0).collect())

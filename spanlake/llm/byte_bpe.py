@@ -187,5 +187,6 @@ def decode(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
 
 def round_trip_digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 (decimal ids joined by one space), decoded_sha256 (bytes decoded from these ids),
-    in one pass without a shuffle. Null text counts as empty."""
+    in one pass without a shuffle. Null text counts as empty and has no ids; a null doc_id stays; equal rows give equal rows, whole texts
+    are read however long they are, an empty table gives an empty one, and other columns are dropped."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_digests(ranks, pattern), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -1,7 +1,7 @@
 """Sanitizing, publishing, loading, exporting and streaming."""
 
-import random
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F

@@ -7,7 +7,7 @@ import os
 import duckdb
 import pytest
 
-from spanlake.plans import catalog
+from spanlake.plans import catalog, wire_catalog  # noqa: F401  (adds its queries to the catalog)
 
 SF = "/root/testdata/sf0.001"
 

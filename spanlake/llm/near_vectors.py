@@ -83,9 +83,13 @@ def _hashed(dtype: str, tables: int, digits: int, probes: int, seed: int):
     return run
 
 
-def _contains(codes: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """pairs x tables: whether i's own hash is among j's, and the other way round."""
-    return (codes[i, :, :1] == codes[j]).any(axis=2), (codes[j, :, :1] == codes[i]).any(axis=2)
+def _least_common(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """pairs x tables: the least code, own or probe, that both rows have in a table; the largest number where there is none."""
+    out = np.full(x.shape[:2], np.iinfo(np.int64).max)
+    for p in range(x.shape[2]):
+        shared = (x[:, :, p : p + 1] == y).any(axis=2)
+        out = np.where(shared, np.minimum(out, x[:, :, p]), out)
+    return out
 
 
 def _forest(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -138,10 +142,8 @@ def _linked(dtype: str, tables: int, probes: int, threshold: float):
             for x, y in _joined(ends, 50_000):
                 ok = (ids[x] != ids[y]) & (cosines(rows[x], rows[y]) >= threshold)
                 x, y = x[ok], y[ok]
-                xy, yx = _contains(codes, x, y)
-                met = np.argmax(xy | yx, axis=1)
-                place = np.minimum(np.where(xy[:, table], codes[x, table, 0], most), np.where(yx[:, table], codes[y, table, 0], most))
-                here = (met == table) & (place == code[x])
+                common = _least_common(codes[x], codes[y])
+                here = (np.argmax(common < most, axis=1) == table) & (common[:, table] == code[x])
                 x, y = x[here], y[here]
                 links += np.bincount(x, minlength=n) + np.bincount(y, minlength=n)
                 kept.append((x, y))

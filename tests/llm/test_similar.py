@@ -465,6 +465,21 @@ def test_near_vectors_against_brute_force(spark, block):
     assert all(got[i][0] == 0 and got[i][2] for i in (9001, 9002, 9003, 9004, 9005, 9006, 9007)) and got[None] == (0, None, True)
 
 
+def test_near_vectors_that_share_only_a_probe_are_linked_once(spark):
+    x = cloud(400, 5)
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    codes = near_vectors.hashes(unit.astype(np.float32).astype(float), 1, 2, 3, 11)[:, 0]
+    want, probed = defaultdict(int), 0
+    for a in range(400):
+        for b in range(a):
+            if unit[a] @ unit[b] >= 0.6 and set(codes[a]) & set(codes[b]):
+                probed += codes[a][0] not in codes[b] and codes[b][0] not in codes[a]
+                want[a] += 1
+                want[b] += 1
+    got = {r.vec_id: r.n_links for r in near_vectors.near_duplicates(vectors(spark, [(i, v.tolist(), 1) for i, v in enumerate(x)]), threshold=0.6, tables=1, block_rows=32).collect()}
+    assert probed and got == {i: want[i] for i in range(400)}
+
+
 def test_near_vectors_of_an_empty_table(spark):
     assert near_vectors.near_duplicates(vectors(spark, []).limit(0)).count() == 0
 

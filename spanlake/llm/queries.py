@@ -52,7 +52,9 @@ def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end=1, length=2048)
+    """The placed pieces; the checksum is of the ids that stand in the sequences."""
+    packed = packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end=1, length=2048, keep_ids=True)
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 def op9_private(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -317,6 +317,35 @@ def test_seeds_link_to_their_first_place_and_the_document_before(spark, parts):
     assert sorted(got) == sorted(want)
 
 
+@pytest.mark.parametrize("period", [1, 2, 7, 20, 23])
+def test_a_text_that_repeats_itself_is_covered_whole(spark, period):
+    rng = random.Random(period)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    part = [word() for _ in range(period)]
+    texts = [[word() for _ in range(90)] + (part * 700)[:n] + [word() for _ in range(90)] for n in (300, 600, 45)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    covered = defaultdict(set)
+    for r in passages.repeated_passages(docs).collect():
+        assert r.words >= 40 and r.words >= 0.8 * max(r.end - r.start, r.source_end - r.source_start)
+        covered[r.doc_id] |= set(range(r.start, r.end))
+    assert set(range(90, 690)) <= covered[1] and set(range(90, 135)) <= covered[2]
+
+
+@pytest.mark.parametrize("period", [1, 3, 8, 20])
+def test_places_left_out_have_others_near_that_see_the_same(period):
+    rng = np.random.default_rng(period)
+    text = np.concatenate([rng.integers(0, 2**40, 100), np.tile(rng.integers(0, 2**40, period), 900 // period), rng.integers(0, 2**40, 100)])
+    words, offsets = np.concatenate([text, text]), np.array([0, len(text), 2 * len(text)])
+    at = np.arange(2 * len(text) - 5)
+    gone = passages.stands_again(words, offsets, at, 6, 40)
+    assert gone.any() == (period < 20)  # of period 20 each stretch of 40 - 20 words has one place anyway
+    kept = set(at[~gone].tolist())
+    for a in at[gone].tolist():
+        lo, hi = a - passages.FLANK, a + 6 + passages.FLANK
+        near = [b for b in range(a - 39, a) if b in kept and (words[b - passages.FLANK : b + 6 + passages.FLANK] == words[lo:hi]).all()]
+        assert near, a
+
+
 def test_rows_that_add_no_word_are_left_out():
     columns = np.array([(0, 100, 0, 100), (0, 60, 0, 60), (50, 160, 200, 310), (90, 200, 50, 160), (110, 190, 70, 150)]).T
     assert sorted(passages.covering(*columns)) == [0, 2, 3]

@@ -22,6 +22,8 @@ from spanlake.llm.chunks import library_encoder, release, slices
 from spanlake.llm.scratch import written
 
 PART_ROWS = 100_000
+#: Ids that a part holds at most (about), where pieces carry theirs.
+PART_BYTES = 64 << 20
 PIECE_SCHEMA = "doc_id long, row long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -114,14 +116,15 @@ def pack_documents(docs: DataFrame, tokenizer: str, end: int | None = 1, length:
     """Each piece with its sequence_id and its offset there; sequences have no gaps before their padding.
 
     Null texts are empty; equal rows are packed one by one; empty tables give no rows; columns other than
-    doc_id and text are not kept. A length that many pieces have is ranked in parts of about `part_rows`, and
+    doc_id and text are not kept. A length that many pieces have is ranked in parts of about `part_rows`
+    (with `keep_ids` of PART_BYTES at most, which makes more parts), and
     the parts' counts give each its first rank, so that no task holds all pieces of a length. Broadcast are a row
     for each part and the slots, a few for each length.
     """
     pieces = written(pieces_of(docs, tokenizer, end, length, keep_space, keep_ids), "pieces")
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most `length` rows
     spark = docs.sparkSession
-    parts = F.broadcast(spark.createDataFrame([(size, -(-n // part_rows)) for size, n in histogram.items()], "length long, parts long"))
+    parts = F.broadcast(spark.createDataFrame([(size, max(-(-n // part_rows), -(-4 * n * size // PART_BYTES) * keep_ids)) for size, n in histogram.items()], "length long, parts long"))
     salted = pieces.join(parts, "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "row", "start"), F.col("parts")).cast("int")).drop("parts")
     counts = written(salted.groupBy("length", "salt").agg(F.count("*").alias("n")), "lengths")
     table = spark.createDataFrame(slots(shortest_pack_first(histogram, length)), SLOT)

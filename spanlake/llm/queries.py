@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanlake.llm import ann, byte_bpe, jaccard_join, line_dedup, near_vectors, packing, passages, private, token_store, toxicity
+from spanlake.llm import ann, byte_bpe, fill_middle, jaccard_join, language_id, line_dedup, near_vectors, packing, passages, private, spelling, token_store, toxicity
 from spanlake.llm.scratch import fresh_path, small_batches
 
 
@@ -66,6 +66,19 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_documents(spark, sf_dir))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's rearranged text and of the text restored from it."""
+    return fill_middle.digests(_documents(spark, sf_dir))
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(_documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -83,6 +96,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_private": op9_private,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_spelling": op11_spelling,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_language": op13_language,
     "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {"op4_jaccard_join": jaccard_join.ORACLE, "op5_line_dedup": line_dedup.ORACLE, "op7_near_vectors": near_vectors.ORACLE}
+ORACLES: dict[str, str] = {
+    "op4_jaccard_join": jaccard_join.ORACLE,
+    "op5_line_dedup": line_dedup.ORACLE,
+    "op7_near_vectors": near_vectors.ORACLE,
+    "op11_spelling": spelling.ORACLE,
+    "op12_fill_middle": fill_middle.ORACLE,
+}

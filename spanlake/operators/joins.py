@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanlake.operators import ranges
+
 
 def as_of(facts: DataFrame, versions: DataFrame, on: Column, at: Column, valid_from: str = "valid_from", valid_to: str = "valid_to", how: str = "inner") -> DataFrame:
     """Facts with the version in force at their time, from valid_from on and before valid_to (null: still in force).
@@ -33,6 +35,65 @@ def within_buckets(points: DataFrame, intervals: DataFrame, on: list[str], at: s
     return within(p, i, [*on, "__bucket"], at, start, end, slack).drop("__bucket")
 
 
+#: Levels of dyadic nodes above the grain: enough for any pair of 64-bit times.
+LEVELS = 62
+
+
+def dyadic_nodes(start: Column, end: Column) -> Column:
+    """The nodes (level, node) whose spans [node << level, (node + 1) << level) together are exactly start to end, ends in: at most two a level.
+
+    At each level what is left begins at the next whole node and ends with the last; an odd begin and an odd end are nodes of their own."""
+    up = lambda x, k: -F.call_function("shiftright", -x, k)  # noqa: E731  rounded up
+    down = lambda x, k: F.call_function("shiftright", x, k)
+    odd = lambda x: x.bitwiseAND(F.lit(1).cast("long")) == 1
+    node = lambda level, x: F.struct(level.cast("int").alias("level"), x.alias("node"))
+
+    def at(k: Column) -> Column:
+        a, b = up(start.cast("long"), k), down(end.cast("long") + 1, k)
+        return F.array(F.when((a < b) & odd(a), node(k, a)), F.when((a < b) & odd(b), node(k, b - 1)))
+
+    # No level above the length holds a node.
+    top = F.least(F.lit(LEVELS), F.ceil(F.log2((end - start + 2).cast("double"))).cast("int"))
+    levels = F.when(start <= end, F.sequence(F.lit(0), top)).otherwise(F.array().cast("array<int>"))
+    return F.filter(F.flatten(F.transform(levels, at)), lambda n: n.isNotNull())
+
+
+def within_dyadic(points: DataFrame, intervals: DataFrame, on: list[str], at: str, start: str, end: str, slack: int = 0, grain: int = 10) -> DataFrame:
+    """As `within`, for intervals of any length and keys of any size: an interval goes to the dyadic nodes of time that it is made of, at most two for
+    each doubling of its length, and a point to its node at each level that some interval uses. They meet on key, level and node, a pair at most once,
+    so a hot key spreads over tasks. Times are whole numbers; nodes have at least 2^grain of them, and what rounding adds is filtered out."""
+    named = intervals.withColumns({"__from": F.col(start) - slack, "__to": F.col(end) + slack})
+    coarse = lambda c: F.call_function("shiftright", F.col(c).cast("long"), F.lit(grain))
+    i = named.withColumn("__n", F.explode(dyadic_nodes(coarse("__from"), coarse("__to")))).select(*intervals.columns, F.col("__n.level").alias("__level"), F.col("__n.node").alias("__node"))
+    used = sorted(r[0] for r in i.select("__level").distinct().collect())  # at most LEVELS
+    if not used:
+        return within(points, intervals, on, at, start, end, slack).limit(0)
+    levels = F.explode(F.array(*[F.lit(x) for x in used]))
+    p = points.withColumn("__level", levels).withColumn("__node", F.call_function("shiftright", F.col(at).cast("long"), F.col("__level") + grain))
+    return within(p, i, [*on, "__level", "__node"], at, start, end, slack).drop("__level", "__node")
+
+
+def as_of_sorted(facts: DataFrame, versions: DataFrame, key: tuple[str, str], at: str, valid_from: str = "valid_from", valid_to: str = "valid_to", how: str = "inner", parts: int | None = None) -> DataFrame:
+    """As `as_of`, for members with very many versions and facts: both are put in one order by member and time, and the last version that began is carried
+    forward, so no fact meets another version and no member has to fit in one task. key: the member's column in facts and in versions.
+
+    A member's versions must not overlap (`quality.bad_history` tells); of versions that begin together the one that sorts last by content counts.
+    Columns of facts come first; those of versions that facts have too are left out."""
+    mine, theirs = key
+    kept = [c for c in versions.columns if c not in facts.columns]
+    fact, version = F.struct(*[F.col(f"`{c}`") for c in facts.columns]), F.struct(*[F.col(f"`{c}`") for c in kept], F.col(valid_to).alias("__until"))
+    begun = versions.where(F.col(theirs).isNotNull() & F.col(valid_from).isNotNull()).select(F.col(theirs).alias("__k"), F.col(valid_from).alias("__t"), F.lit(0).alias("__kind"), version.alias("__version"))
+    asked = facts.select(F.col(mine).alias("__k"), F.col(at).alias("__t"), F.lit(1).alias("__kind"), fact.alias("__fact"))
+    # A version that begins at a fact's time is in force: versions sort before facts.
+    both = begun.unionByName(asked, allowMissingColumns=True)
+    found = ranges.deal(both, ["__k"], "__t", "__kind", parts=parts).scan(__last=ranges.known(F.col("__version"))).rows().where("__kind = 1")
+    until = F.col("__last.__until")
+    holds = F.col("__k").isNotNull() & F.col("__t").isNotNull() & F.col("__last").isNotNull() & (until.isNull() | (F.col("__t") < until))
+    if how == "inner":
+        found = found.where(holds)
+    return found.select("__fact.*", *[F.when(holds, F.col("__last")[c]).alias(c) for c in kept])
+
+
 def not_in(rows: DataFrame, members: DataFrame, column: str, member: str) -> DataFrame:
     """SQL's NOT IN: rows whose value is no member; rows with null are left out."""
     return rows.where(F.col(column).isNotNull()).join(members.where(F.col(member).isNotNull()).select(F.col(member).alias("__m")), F.col(column) == F.col("__m"), "left_anti")

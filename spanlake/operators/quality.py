@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanlake.operators import ranges
 from spanlake.operators.windows import ordered
 
 
@@ -33,26 +34,23 @@ def coverage_faults(facts: DataFrame, versions: DataFrame, fact_key: list[str],
     return facts.join(versions, in_force, "left").groupBy(*fact_key).agg(F.count("valid_from").alias("versions")).where("versions <> 1")
 
 
-def overlapping_intervals(rows: DataFrame, by: list[str], start: str, end: str) -> DataFrame:
-    """Intervals that begin before an earlier one of their group has ended (ends count in); sorted, not paired."""
-    before = ordered(by, start, end).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("latest_end", F.max(end).over(before)).where(F.col(start) <= F.col("latest_end"))
+def overlapping_intervals(rows: DataFrame, by: list[str], start: str, end: str, parts: int | None = None) -> DataFrame:
+    """Intervals that begin before an earlier one of their group has ended (ends count in), with the latest end before them. Sorted by ranges,
+    with the latest end carried from one to the next, and not paired; a group may be of any size."""
+    return ranges.deal(rows, by, start, end, parts=parts).scan(latest_end=ranges.most(F.col(end), inclusive=False)).rows().where(F.col(start) <= F.col("latest_end"))
 
 
 def orphans(rows: DataFrame, parents: DataFrame, key: list[str]) -> DataFrame:
     return rows.join(parents, key, "left_anti")
 
 
-def rank_inversions(rows: DataFrame, rank: str, score: str) -> DataFrame:
-    """Rows whose score is below that of a worse rank, with the best such score (best_after). Ranges of ranks are worked on apart; a row a
-    range, its best score, is carried over to those of better ranks."""
-    dealt = rows.repartitionByRange(F.col(rank).desc()).withColumn("__part", F.spark_partition_id())
-    tops = dealt.groupBy("__part").agg(F.max(score).alias("__top"))
-    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    carried = F.broadcast(tops.select("__part", F.max("__top").over(earlier).alias("__before")))
-    inside = Window.partitionBy("__part").orderBy(F.col(rank).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    best = dealt.withColumn("__here", F.max(score).over(inside)).join(carried, "__part").withColumn("best_after", F.greatest("__here", "__before"))
-    return best.where(F.col(score) < F.col("best_after")).select(*rows.columns, "best_after")
+def rank_inversions(rows: DataFrame, rank: str, score: str, parts: int | None = None) -> DataFrame:
+    """Rows whose score is below that of a worse rank, with the best such score (best_after). The best score of each rank is dealt by ranges and
+    written, and the best so far carried from worse ranks to better ones; rows find theirs by their rank. Rows without a rank or score are left out."""
+    best = rows.groupBy(F.col(rank).alias("__rank")).agg(F.max(score).alias("__best")).where(F.col("__rank").isNotNull())
+    worse = ranges.deal(best, [], ("__rank", True), parts=parts).scan(best_after=ranges.most(F.col("__best"), inclusive=False)).rows()
+    out = rows.join(worse, F.col(rank) == F.col("__rank"))
+    return out.where(F.col(score) < F.col("best_after")).select(*rows.columns, "best_after")
 
 
 def conservation(parts: DataFrame, whole: DataFrame, key: list[str], part: str, total: str) -> DataFrame:

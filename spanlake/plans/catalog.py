@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanlake.functions import expr
-from spanlake.operators import joins, quality, windows
+from spanlake.operators import joins, quality, ranges, windows
 from spanlake.plans import consumers, curated, export, gold
 from spanlake.plans.typed import TRACE_LINE, rule, unpivoted
 
@@ -68,8 +68,8 @@ def run_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     min(srv) OVER (PARTITION BY session_id, user_id) AS first_srv FROM log)
 SELECT event_id, hellos, CAST(dense_rank() OVER (PARTITION BY session_id ORDER BY first_srv) AS INTEGER) AS page_load_seq, hellos = 0 AS precedes_first_hello FROM c""")
 def page_load_rank(spark, sf_dir):
-    rows = log(spark, sf_dir).repartition("session_id").withColumn("hellos", windows.running_count(F.col("event_type") == "signup", ["session_id"], "srv"))
-    ranked = windows.rank_by_first_seen(rows, ["session_id"], "user_id", "srv", "page_load_seq")
+    rows = ranges.running_count(log(spark, sf_dir), F.col("event_type") == "signup", ["session_id"], "srv", out="hellos")
+    ranked = ranges.rank_by_first_seen(rows, ["session_id"], "user_id", "srv", "page_load_seq")
     return ranked.select("event_id", "hellos", "page_load_seq", (F.col("hellos") == 0).alias("precedes_first_hello"))
 
 
@@ -192,7 +192,7 @@ def dim_history(spark, sf_dir):
 SELECT b.user_id AS run_user, CAST(b.run_seq AS INTEGER) AS run_seq, count(*) AS n, count(DISTINCT l.user_id) AS users FROM log l JOIN b ON l.session_id = b.session_id AND l.srv BETWEEN b.s0 - {QUARTER} AND b.s1 + {QUARTER} GROUP BY ALL""")
 def interval_events(spark, sf_dir):
     bounds = run_rows(spark, sf_dir).where("event_type = 'error'").groupBy(F.col("user_id").alias("run_user"), "run_seq", "session_id").agg(F.min("srv").alias("s0"), F.max("srv").alias("s1"))
-    found = joins.within_buckets(log(spark, sf_dir), bounds, ["session_id"], "srv", "s0", "s1", 4 * HOUR, QUARTER)
+    found = joins.within_dyadic(log(spark, sf_dir), bounds, ["session_id"], "srv", "s0", "s1", QUARTER, grain=20)
     return found.groupBy("run_user", "run_seq").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"))
 
 
@@ -215,7 +215,7 @@ HELLOS = f"log AS ({LOG}), landed AS (SELECT *, sum(CASE WHEN event_type = 'sign
 
 
 def _counted(spark, sf_dir):
-    return log(spark, sf_dir).withColumn("hellos", windows.running_count(F.col("event_type") == "signup", ["session_id"], "srv"))
+    return ranges.running_count(log(spark, sf_dir), F.col("event_type") == "signup", ["session_id"], "srv", out="hellos")
 
 
 @query(f"""WITH {HELLOS} SELECT event_id, 'landed' AS relation, 'orphan_record_no_hello' AS reason, 'record precedes the first hello' AS detail FROM landed WHERE hellos = 0
@@ -525,10 +525,25 @@ def attribute_lists(spark, sf_dir):
 
 @query("""SELECT count(*) AS records, CAST(sum(strlen('{"id":' || event_id || ',"kind":"' || event_type || '"}') + 1) AS BIGINT) AS bytes, true AS all_fit FROM events""")
 def export_batches(spark, sf_dir):
-    """Every record is in one batch, and no batch exceeds the limit."""
+    """Every record is in one batch, and no batch exceeds the limit; the bytes count a separator for each record."""
     rows = log(spark, sf_dir).select(F.col("srv").alias("at_ms"), F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("kind"))).alias("json"))
-    sized = export.batched(rows, most=20_000, parts=4).groupBy("part", "batch").agg(F.count("*").alias("n"), F.sum("bytes").alias("b"))
-    return sized.agg(F.sum("n").alias("records"), F.sum("b").alias("bytes"), (F.max("b") <= 20_000).alias("all_fit"))
+    sized = export.batched(rows, most=20_000).groupBy("batch").agg(F.count("*").alias("n"), F.sum("bytes").alias("b"))
+    return sized.agg(F.sum("n").alias("records"), F.sum("b").alias("bytes"), (F.max("b") <= 20_001).alias("all_fit"))
+
+
+BATCH, WRAP = 20_000, 40
+
+
+@query(f"""WITH RECURSIVE r AS (SELECT doc_id, strlen(text) + 1 AS bytes, row_number() OVER w AS i, CAST(sum(strlen(text) + 1) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto FROM documents WHERE text IS NOT NULL WINDOW w AS (ORDER BY doc_id, text)),
+s AS (SELECT CAST(1 AS BIGINT) AS i, CAST(0 AS BIGINT) AS batch UNION ALL
+    SELECT (SELECT coalesce(min(n.i), (SELECT max(i) + 1 FROM r)) FROM r n WHERE n.i > s.i AND n.upto - (b.upto - b.bytes) > {BATCH - WRAP + 1}), s.batch + 1 FROM s JOIN r b ON b.i = s.i),
+e AS (SELECT i, batch, lead(i) OVER (ORDER BY batch) AS until FROM s WHERE i IN (SELECT i FROM r))
+SELECT batch, count(*) AS records, CAST(sum(bytes) - 1 + {WRAP} AS BIGINT) AS bytes, min(doc_id) AS first_id, sum(bytes) - 1 + {WRAP} <= {BATCH} OR count(*) = 1 AS fits FROM r JOIN e ON r.i >= e.i AND (e.until IS NULL OR r.i < e.until) GROUP BY batch""")
+def export_next_fit(spark, sf_dir):
+    """Texts as records, from a few bytes to far over the limit: each batch is as long as fits, and only a text that is too long by itself exceeds it."""
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("at_ms"), F.col("text").alias("json"))
+    size = F.sum("bytes") - 1 + WRAP
+    return export.batched(rows, BATCH, WRAP).groupBy("batch").agg(F.count("*").alias("records"), size.alias("bytes"), F.min("at_ms").alias("first_id"), ((size <= BATCH) | (F.count("*") == 1)).alias("fits"))
 
 
 @query("SELECT event_id FROM events WHERE epoch_us(ts) // 1000 > (SELECT max(epoch_us(ts) // 1000) FROM events WHERE event_type = 'signup' AND event_id % 2 = 0)")

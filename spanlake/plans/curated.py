@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanlake.functions.expr import first_by, instant, last_by, seconds
-from spanlake.operators import windows
+from spanlake.operators import ranges, windows
 from spanlake.sources.contract import cap
 
 LOAD = ["session_id", "page_load_seq"]
@@ -26,8 +26,12 @@ def session_summary(sessions: DataFrame, pulses: DataFrame) -> DataFrame:
 
 
 def percentiles(rows: DataFrame, by: str, value: str, accuracy: int | None = None, digits: int = 3) -> DataFrame:
-    """samples, p50 and p95 of value; exact and interpolated, or approximate with `accuracy` where groups are huge."""
-    q = F.percentile(value, [0.5, 0.95]) if accuracy is None else F.percentile_approx(value, [0.5, 0.95], accuracy)
+    """samples, p50, p95 and largest of value; exact and interpolated by selection from ranges, or approximate with `accuracy`. samples counts every row."""
+    if accuracy is None:
+        found = ranges.exact_percentiles(rows, [by], value, [0.5, 0.95])
+        told = rows.groupBy(by).agg(F.count("*").alias("samples")).withColumnRenamed(by, "__by").join(found.drop("samples"), F.col("__by").eqNullSafe(F.col(by)), "left")
+        return told.select(F.col("__by").alias(by), "samples", F.round("p0", digits).alias("p50"), F.round("p1", digits).alias("p95"), "largest")
+    q = F.percentile_approx(value, [0.5, 0.95], accuracy)
     return rows.groupBy(by).agg(F.count("*").alias("samples"), q.alias("__q"), F.max(value).alias("largest")).select(by, "samples", F.round(F.col("__q")[0], digits).alias("p50"), F.round(F.col("__q")[1], digits).alias("p95"), "largest")
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanlake.functions.expr import attributes, hex_id, nanos
+from spanlake.operators import ranges
 
 #: Fixed values of the formats.
 SEVERITY = {"INFO": 9, "WARN": 13, "ERROR": 17}
@@ -109,14 +112,77 @@ def high_water(records: DataFrame) -> int | None:
     return records.agg(F.max("at_ms")).first()[0]
 
 
-def batched(records: DataFrame, most: int = BATCH_BYTES, parts: int = 32) -> DataFrame:
-    """part, batch, json: records numbered into batches of at most `most` bytes (a larger one stands alone), each part on its own.
-
-    A batch closes when half its size is reached by the running sum, so no batch exceeds `most` while records do not exceed its half."""
-    text = records.select("at_ms", (F.col("json") if "json" in records.columns else F.to_json("record")).alias("json")).withColumn("bytes", F.octet_length("json") + 1)
-    dealt = text.withColumn("part", F.pmod(F.xxhash64("json"), F.lit(parts)).cast("int"))
-    running = Window.partitionBy("part").orderBy(F.col("at_ms").asc_nulls_last(), "json").rowsBetween(Window.unboundedPreceding, -1)
-    return dealt.withColumn("batch", F.floor(F.coalesce(F.sum("bytes").over(running), F.lit(0)) / (most // 2))).select("part", "batch", "bytes", "json")
+#: Bytes of a block in which batches are followed at once, as a multiple of a batch; a block has at most two starts for each.
+BLOCK_BATCHES = 8
+
+
+def _followed(room: int, width: int):
+    """applyInArrow, for the records of a block and those at the begin of the next: from each record at which a batch of an earlier block can have
+    ended (entry), the starts of batches in this block and where the first after it begins."""
+
+    def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        block = key[0].as_py()
+        at, size, own = (group.column(c).to_numpy() for c in ("at", "bytes", "own"))
+        order = np.argsort(at)
+        at, end, own = at[order], (at + size)[order], own[order]
+        fits = np.searchsorted(end, at + room, side="right") - 1
+        after = np.maximum(end[np.maximum(fits, 0)], end)  # a record over the limit stands alone
+        mine = np.flatnonzero(own)
+        entries = mine[(at[mine] < block * width + room) | (np.arange(len(mine)) == 0)]
+        starts = [[x] for x in at[entries].tolist()]
+        now = after[entries]
+        going = np.flatnonzero((now < (block + 1) * width) & (now <= at[-1]))
+        while len(going):
+            for i in going.tolist():
+                starts[i].append(int(now[i]))
+            now[going] = after[np.searchsorted(at, now[going])]
+            going = going[(now[going] < (block + 1) * width) & (now[going] <= at[-1])]
+        return pa.table({"block": pa.array([block] * len(entries), pa.int64()), "entry": pa.array(at[entries]), "next": pa.array(now), "starts": pa.array(starts, pa.list_(pa.int64()))})
+
+    return run
+
+
+def _reached(steps: DataFrame) -> DataFrame:
+    """The entries that the batches from the first record on come by, each with how many starts are before it. steps: entry, next, n. Steps double each
+    round, so rounds grow with the logarithm of the number of blocks."""
+    reached = ranges.written(steps.where("entry = 0").select("entry", F.lit(0).cast("long").alias("offset")), "reached")
+    jump = steps.select("entry", "next", "n")
+    while True:
+        on = jump.select("entry", "next", F.col("n").alias("__n"))
+        new = reached.join(on, "entry").select(F.col("next").alias("entry"), (F.col("offset") + F.col("__n")).alias("offset")).join(steps.select("entry"), "entry", "left_semi")
+        new = ranges.written(new, "reached")
+        if new.limit(1).count() == 0:
+            return reached
+        reached = ranges.written(reached.union(new), "reached")
+        further = jump.select(F.col("entry").alias("next"), F.col("next").alias("__next"), F.col("n").alias("__n"))
+        jump = ranges.written(jump.join(further, "next").select("entry", F.col("__next").alias("next"), (F.col("n") + F.col("__n")).alias("n")), "jump")
+
+
+def batched(records: DataFrame, most: int = BATCH_BYTES, wrapper: int = 0, parts: int | None = None) -> DataFrame:
+    """batch, at_ms, bytes, json: records in the order of time and content, each batch as long as fits (next fit). A batch's bytes are those of its
+    records, one between two of them, and `wrapper`; none exceeds `most`, but for a single record that does by itself.
+
+    Records are dealt by ranges, and the bytes before each are counted from range to range. Where a batch ends follows from these sums. Blocks of a few
+    batches are followed apart, from every record where a batch can begin; their ends are then linked by doubling. A null record is left out."""
+    room = most - wrapper + 1
+    if room < 1:
+        raise ValueError("the wrapper alone exceeds the limit")
+    width = BLOCK_BATCHES * room
+    text = records.select("at_ms", (F.col("json") if "json" in records.columns else F.to_json("record")).alias("json")).where("json IS NOT NULL")
+    sized = text.withColumn("bytes", F.octet_length("json").cast("long") + 1)
+    summed = ranges.deal(sized, [], "at_ms", "json", parts=parts).scan(at=ranges.total(F.col("bytes"), inclusive=False)).rows()
+    placed = ranges.written(summed.withColumn("block", F.floor(F.col("at") / width)), "placed")
+    narrow = placed.select("block", "at", "bytes", F.lit(True).alias("own"))
+    heads = narrow.where((F.col("at") - F.col("block") * width <= room) & (F.col("block") > 0)).select((F.col("block") - 1).alias("block"), "at", "bytes", F.lit(False).alias("own"))
+    both = narrow.union(heads.join(narrow.select("block").distinct(), "block", "left_semi"))
+    steps = ranges.written(both.groupBy("block").applyInArrow(_followed(room, width), "block long, entry long, next long, starts array<long>").withColumn("n", F.size("starts").cast("long")), "steps")
+    true = ranges.written(steps.join(_reached(steps), "entry").select("block", "offset", "starts"), "true")
+    # Only the last block can be without a start: all its records then are in the last batch.
+    batches = true.agg(F.max(F.col("offset") + F.size("starts")).alias("batches"))
+    told = placed.join(true, "block", "left").crossJoin(F.broadcast(batches))  # one row
+    passed = F.size(F.filter("starts", lambda s: s <= F.col("at")))
+    number = F.when(F.col("starts").isNull(), F.col("batches")).otherwise(F.col("offset") + passed) - 1
+    return told.select(number.cast("long").alias("batch"), "at_ms", "bytes", "json")
 
 
 #: signal -> what wraps its records in a payload.
@@ -131,8 +197,9 @@ PATHS = {"logs": "/v1/logs", "traces": "/v1/traces", "metrics": "/v1/metrics", "
 
 
 def payloads(records: DataFrame, signal: str, most: int = BATCH_BYTES) -> DataFrame:
-    """signal, path, media_type, records, payload: whole JSON bodies, none larger than the limit."""
+    """signal, path, media_type, batch, records, payload: whole JSON bodies in the order of time, none larger than the limit but for a record that is by itself."""
     head, tail = WRAPPERS[signal]
     head = head.format(f'{{"attributes":[{{"key":"service.name","value":{{"stringValue":"{SERVICE}"}}}}]}}', f'{{"name":"{SERVICE}"}}') if signal != "events" else head
-    rows = batched(records, most).groupBy("part", "batch").agg(F.count("*").alias("records"), F.array_join(F.array_sort(F.collect_list("json")), ",").alias("body"))
-    return rows.select(F.lit(signal).alias("signal"), F.lit(PATHS[signal]).alias("path"), F.lit(MEDIA[signal]).alias("media_type"), "records", F.concat(F.lit(head), "body", F.lit(tail)).alias("payload"))
+    rows = batched(records, most, len((head + tail).encode())).groupBy("batch").agg(F.count("*").alias("records"), F.array_sort(F.collect_list(F.struct(F.col("at_ms").isNull().alias("no_time"), "at_ms", "json"))).alias("held"))
+    body = F.array_join(F.transform("held", lambda r: r["json"]), ",")
+    return rows.select(F.lit(signal).alias("signal"), F.lit(PATHS[signal]).alias("path"), F.lit(MEDIA[signal]).alias("media_type"), "batch", "records", F.concat(F.lit(head), body, F.lit(tail)).alias("payload"))

@@ -6,14 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanlake.functions.expr import first_by, instant, last_by, ratio, seconds
-from spanlake.operators import windows
-from spanlake.operators.joins import as_of, within_buckets
+from spanlake.operators import ranges, windows
+from spanlake.operators.joins import as_of, within_dyadic
 from spanlake.sources.landing import Reference
 
 LOAD = ["session_id", "page_load_seq"]
 SLACK_MS = 1_500
-#: Width of the time buckets in which events and runs meet.
-BUCKET_MS = 60_000
 #: Event names.
 KILLS = ("CROW_KILLED", "SKELETON_KILLED")
 SHOTS = ("WEAPON_FIRED", "ICE_BOLT_FIRED")
@@ -99,7 +97,7 @@ def run_pulse(pulses: DataFrame, states: DataFrame) -> DataFrame:
 
 def run_events(events: DataFrame, pulses: DataFrame) -> DataFrame:
     runs = pulses.groupBy("run_id", *LOAD, "character_key").agg(F.min("srv").alias("s0"), F.max("srv").alias("s1"))
-    found = within_buckets(events.select(*LOAD, "message", F.col("timestamp").alias("ts")), runs, LOAD, "ts", "s0", "s1", BUCKET_MS, SLACK_MS)
+    found = within_dyadic(events.select(*LOAD, "message", F.col("timestamp").alias("ts")), runs, LOAD, "ts", "s0", "s1", SLACK_MS)
     return found.select("run_id", "character_key", "message", "ts")
 
 
@@ -175,20 +173,15 @@ def run_outcomes(runs: DataFrame) -> DataFrame:
     return runs.groupBy("outcome").agg(F.count("*").alias("runs"), F.round(F.avg("duration_s"), 1).alias("avg_wall_s"), F.round(F.avg("sim_active_s"), 1).alias("avg_sim_s"), F.max("kills").alias("best_kills"))
 
 
-def global_rank(rows: DataFrame, order: list[tuple[str, bool]], out: str = "rank", parts: int = 64) -> DataFrame:
+def global_rank(rows: DataFrame, order: list[tuple[str, bool]], out: str = "rank", parts: int | None = None) -> DataFrame:
     """SQL's rank() over all rows without one task that sorts them all. order: (column, descending).
 
-    The distinct order values are dealt by range and numbered within their range; the ranges' counts give each its offset."""
+    The distinct order values are dealt by ranges with how often each occurs; the rows before a value are counted from range to range."""
     names = [c for c, _ in order]
-    sort = [F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_last() for c, down in order]
-    values = rows.groupBy(*names).agg(F.count("*").alias("__n")).repartitionByRange(parts, *sort).withColumn("__part", F.spark_partition_id())
-    before = lambda window: window.rowsBetween(Window.unboundedPreceding, -1)
-    counted = values.withColumn("__before", F.coalesce(F.sum("__n").over(before(Window.partitionBy("__part").orderBy(*sort))), F.lit(0)))
-    totals = counted.groupBy("__part").agg(F.sum("__n").alias("__all"))
-    offset = totals.select("__part", F.coalesce(F.sum("__all").over(before(Window.orderBy("__part"))), F.lit(0)).alias("__offset"))  # a row a range
-    ranked = counted.join(F.broadcast(offset), "__part").select(*[F.col(c).alias(f"__{c}") for c in names], (F.col("__before") + F.col("__offset") + 1).cast("int").alias(out))
+    values = rows.groupBy(*[F.col(c).alias(f"__{c}") for c in names]).agg(F.count("*").alias("__n"))
+    counted = ranges.deal(values, [], *[(f"__{c}", down) for c, down in order], parts=parts).scan(__before=ranges.total(F.col("__n"), inclusive=False)).rows()
     same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in names]
-    return rows.join(ranked, same).select(*rows.columns, out)
+    return rows.join(counted, same).select(*rows.columns, (F.col("__before") + 1).cast("int").alias(out))
 
 
 def run_scorecard(runs: DataFrame, pulses: DataFrame) -> DataFrame:

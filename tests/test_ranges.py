@@ -95,3 +95,141 @@ def test_percentiles_equal_numpy(spark, parts):
     assert [tuple(r) for r in one] == [("x", 1, 5.0, 5.0)]
     same = ranges.exact_percentiles(spark.range(5000).selectExpr("'h' AS k", "CAST(id % 3 AS DOUBLE) AS v"), ["k"], "v", [0.5, 0.95], parts=parts).first()
     assert (same["p0"], same["p1"], same["samples"]) == (1.0, 2.0, 5000)
+
+
+# quality, joins and batches over ranges
+
+
+@pytest.mark.parametrize("parts", PARTS)
+def test_inversions_and_overlaps_equal_brute_force(spark, parts):
+    from spanlake.operators import quality
+
+    rng = random.Random(parts)
+    rows = [(rng.randrange(400), rng.randrange(90), "x" * rng.randrange(200)) for _ in range(1500)] + [(None, 1, ""), (3, None, "")]
+    best = defaultdict(lambda: -1)
+    for r, s, _ in rows:
+        if r is not None and s is not None:
+            best[r] = max(best[r], s)
+    worse, so_far = {}, None
+    for r in sorted(best, reverse=True):
+        worse[r] = so_far
+        so_far = best[r] if so_far is None else max(so_far, best[r])
+    want = sorted((r, s, x, worse[r]) for r, s, x in rows if r is not None and s is not None and worse[r] is not None and s < worse[r])
+    frame = spark.createDataFrame(rows, "r int, s int, wide string")
+    assert sorted(tuple(r) for r in quality.rank_inversions(frame, "r", "s", parts=parts).collect()) == want
+    spans = [(i, "k", s, s + rng.randrange(30)) for i, s in enumerate(rng.sample(range(20_000), 700))]
+    latest, lapped = None, set()
+    for i, _, s, e in sorted(spans, key=lambda x: x[2:]):
+        if latest is not None and s <= latest:
+            lapped.add((i, latest))
+        latest = e if latest is None else max(latest, e)
+    got = quality.overlapping_intervals(spark.createDataFrame(spans, "i long, k string, s long, e long"), ["k"], "s", "e", parts=parts)
+    assert {(r["i"], r["latest_end"]) for r in got.collect()} == lapped
+
+
+@pytest.mark.parametrize("advised", ["64MB", "1MB", "100KB"])
+def test_inversions_of_a_million_wide_rows(spark, advised):
+    """The result does not depend on how Spark cuts the ranges."""
+    from spanlake.operators import quality
+
+    n = 1_000_000
+    wide = spark.range(n).selectExpr("id AS r", "(id * 7919) % 1000003 AS s", "repeat(CAST(id AS STRING), 4) AS wide", "id * 2.5 AS x")
+    score = np.arange(n) * 7919 % 1000003
+    top = np.concatenate([np.maximum.accumulate(score[::-1])[::-1][1:], [-1]])
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, advised)
+    try:
+        got = quality.rank_inversions(wide, "r", "s").agg(F.count("*").alias("n"), F.sum("best_after").alias("b"), F.sum("r").alias("r")).first()
+    finally:
+        spark.conf.set(key, before)
+    low = score < top
+    assert tuple(got) == (int(low.sum()), int(top[low].sum()), int(np.flatnonzero(low).sum()))
+
+
+def test_dyadic_nodes_cover_each_interval_once(spark):
+    from spanlake.operators import joins
+
+    rng = random.Random(9)
+    spans = [(s, s + rng.choice([0, 1, 2, 7, 1000, 10**12])) for s in (rng.randrange(-(10**6), 10**6) for _ in range(200))] + [(5, 4), (None, 3), (0, 2**40 - 1)]
+    rows = spark.createDataFrame(spans, "s long, e long").select("s", "e", joins.dyadic_nodes(F.col("s"), F.col("e")).alias("n")).collect()
+    for r in rows:
+        if r["s"] is None or r["s"] > r["e"]:
+            assert not r["n"]
+            continue
+        at = r["s"]
+        for a, b in sorted((n["node"] << n["level"], (n["node"] + 1) << n["level"]) for n in r["n"]):
+            assert a == at
+            at = b
+        assert at == r["e"] + 1 and len(r["n"]) <= 2 * max(1, (r["e"] - r["s"] + 1).bit_length())
+
+
+@pytest.mark.parametrize("grain", [0, 3, 10])
+def test_points_meet_their_intervals_once(spark, grain):
+    from spanlake.operators import joins
+
+    rng = random.Random(grain)
+    points = [(i, rng.choice("hhhk"), rng.randrange(-5000, 5000)) for i in range(400)] + [(999, "h", None), (998, None, 1)]
+    spans = [(i, rng.choice("hhhk"), s, s + rng.choice([0, 3, 90, 4000, -5])) for i, s in enumerate(rng.choices(range(-5000, 5000), k=150))]
+    want = sorted((p, i) for p, k, t in points for i, j, s, e in spans if t is not None and k == j and s - 7 <= t <= e + 7)
+    a, b = spark.createDataFrame(points, "p long, k string, t long"), spark.createDataFrame(spans, "i long, k string, s long, e long")
+    found = joins.within_dyadic(a, b, ["k"], "t", "s", "e", 7, grain)
+    assert found.columns == ["p", "k", "t", "i", "s", "e"] and sorted((r["p"], r["i"]) for r in found.collect()) == want
+    assert joins.within_dyadic(a, b.limit(0), ["k"], "t", "s", "e").count() == 0
+
+
+@pytest.mark.parametrize("parts", PARTS)
+def test_sorted_as_of_equals_the_join(spark, parts):
+    from spanlake.operators import joins
+
+    rng = random.Random(parts)
+    versions = []
+    for k in ("hot", "b", "c"):
+        at = 0
+        for i in range(300 if k == "hot" else 5):
+            at += rng.randrange(1, 9)
+            versions.append((k, f"{k}{i}", at, rng.choice([at + 1, None]) if i % 7 == 3 else None))
+    by_key = defaultdict(list)
+    for v in versions:
+        by_key[v[0]].append(v)
+    closed = [(k, n, a, min([x for x in (u, vs[j + 1][2] if j + 1 < len(vs) else None) if x is not None], default=None)) for k, vs in by_key.items() for j, (_, n, a, u) in enumerate(vs)]
+    facts = [(i, rng.choice(["hot"] * 5 + ["b", "c", "none"]), rng.randrange(1500)) for i in range(1200)] + [(5000, None, 3), (5001, "hot", None)]
+    f, v = spark.createDataFrame(facts, "id long, k string, t long"), spark.createDataFrame(closed, "m string, name string, valid_from long, valid_to long")
+    for how in ("inner", "left"):
+        want = sorted(((r["id"], r["name"]) for r in joins.as_of(f, v, f["k"] == v["m"], f["t"], how=how).collect()), key=repr)
+        got = joins.as_of_sorted(f, v, ("k", "m"), "t", how=how, parts=parts)
+        assert sorted(((r["id"], r["name"]) for r in got.collect()), key=repr) == want
+    assert got.columns == ["id", "k", "t", "m", "name", "valid_from", "valid_to"]
+
+
+@pytest.mark.parametrize("parts, seed", [(1, 1), (7, 2), (40, 3)])
+def test_batches_equal_next_fit(spark, parts, seed):
+    from spanlake.plans import export
+
+    rng = random.Random(seed)
+    records = [(None if i % 97 == 5 else i // 2, "x" * rng.choice([0, 1, 5, 49, 60, 90, 100, 101, 250, 3000]) + str(i)) for i in range(900)] + [(3, None)]
+    got = export.batched(spark.createDataFrame(records, "at_ms long, json string"), most=140, wrapper=20, parts=parts).collect()
+    held = defaultdict(list)
+    for r in got:
+        held[r["batch"]].append((r["at_ms"] is None, r["at_ms"] or 0, r["json"]))
+    want, size = [], None
+    for t, j in sorted((r for r in records if r[1] is not None), key=lambda r: (r[0] is None, r[0] or 0, r[1])):
+        if size is None or size + 1 + len(j) > 140:
+            want.append([])
+            size = 20 + len(j)
+        else:
+            size += 1 + len(j)
+        want[-1].append((t is None, t or 0, j))
+    assert [sorted(held[b]) for b in sorted(held)] == want and sorted(held) == list(range(len(want)))
+    assert export.batched(spark.createDataFrame([], "at_ms long, json string"), 100).count() == 0
+
+
+def test_no_payload_is_over_the_limit(spark):
+    import json
+
+    from spanlake.plans import export
+
+    rows = spark.range(200).selectExpr("id AS at_ms", "to_json(struct(id, repeat('é', CAST(id % 50 AS INT)) AS t)) AS json")
+    made = export.payloads(rows, "events", 120).orderBy("batch").collect()
+    assert all(len(p["payload"].encode()) <= 120 or p["records"] == 1 for p in made)
+    assert [r["id"] for p in made for r in json.loads(p["payload"])] == list(range(200))

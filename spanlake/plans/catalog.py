@@ -578,3 +578,54 @@ def strict_rules(spark, sf_dir):
     ]
     found = F.filter(F.array(*rules), lambda r: r.isNotNull())
     return log(spark, sf_dir).select("event_id", F.inline(found)).drop("relation")
+
+
+# sequences, ranks and histories over ranges
+
+ONE = f"log AS ({LOG}), one AS (SELECT *, min(srv) OVER (PARTITION BY user_id) AS first_srv, lag(srv) OVER w AS prev_srv, lag(event_type) OVER w AS prev_type FROM log WINDOW w AS (ORDER BY srv, event_id))"
+
+
+@query(f"""WITH {ONE}, n AS (SELECT event_id, sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) OVER w AS hellos, dense_rank() OVER (ORDER BY first_srv) AS page_load_seq, prev_srv, prev_type,
+    sum(CASE WHEN event_type = 'error' AND coalesce(prev_type, '-') <> 'error' THEN 1 ELSE 0 END) OVER w AS island, sum(CASE WHEN prev_srv IS NULL OR srv - prev_srv > {60_000} THEN 1 ELSE 0 END) OVER w AS gap_group FROM one WINDOW w AS (ORDER BY srv, event_id ROWS UNBOUNDED PRECEDING))
+SELECT event_id, CAST(hellos AS BIGINT) AS hellos, CAST(page_load_seq AS INTEGER) AS page_load_seq, prev_srv, prev_type, CAST(island AS BIGINT) AS island, CAST(gap_group AS BIGINT) AS gap_group FROM n""")
+def one_session_scan(spark, sf_dir):
+    """All events as one session: hellos so far, page loads by first arrival, the event before, runs of errors and groups by gaps, over 40 ranges."""
+    dealt = ranges.deal(log(spark, sf_dir).withColumn("session", F.lit(0)), ["session"], "srv", "event_id", parts=40)
+    seen = dealt.scan(hellos=ranges.total(F.when(F.col("event_type") == "signup", 1).otherwise(0)), prev_srv=ranges.before(F.col("srv")), prev_type=ranges.before(F.col("event_type")))
+    error = F.col("event_type") == "error"
+    opens = seen.with_columns(
+        island_opens=F.when(error & (F.coalesce("prev_type", F.lit("-")) != "error"), 1).otherwise(0),
+        group_opens=F.when(F.col("prev_srv").isNull() | (F.col("srv") - F.col("prev_srv") > 60_000), 1).otherwise(0),
+    )
+    numbered = opens.scan(island=ranges.total(F.col("island_opens")), gap_group=ranges.total(F.col("group_opens"))).rows()
+    ranked = ranges.rank_by_first_seen(numbered, ["session"], "user_id", "srv", "page_load_seq", parts=40)
+    return ranked.select("event_id", "hellos", "page_load_seq", "prev_srv", "prev_type", "island", "gap_group")
+
+
+@query("""WITH m AS (SELECT o_orderkey, o_custkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders), b AS (SELECT *, max(cents) OVER (ORDER BY o_orderkey DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best_after FROM m)
+SELECT o_orderkey, o_custkey, cents, best_after FROM b WHERE cents < best_after""")
+def rank_inversions(spark, sf_dir):
+    """Orders by their number: those that a later one surpasses, with the largest later total."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+    return quality.rank_inversions(rows, "o_orderkey", "cents")
+
+
+@query(f"""WITH log AS ({LOG}), v AS (SELECT user_id, event_id AS deal_id, k AS deal_k, srv AS valid_from, lead(srv) OVER (PARTITION BY user_id ORDER BY srv) AS valid_to FROM log WHERE event_type = 'purchase')
+SELECT l.event_id, v.deal_id, v.deal_k, l.srv - v.valid_from AS age_ms FROM log l LEFT JOIN v ON v.user_id = l.user_id AND l.srv >= v.valid_from AND (v.valid_to IS NULL OR l.srv < v.valid_to)""")
+def as_of_history(spark, sf_dir):
+    """Every event with its user's last purchase: a history with a version for each purchase, joined in one order and not by pairs."""
+    rows = log(spark, sf_dir)
+    deals = rows.where("event_type = 'purchase'").select(F.col("user_id").alias("buyer"), F.col("event_id").alias("deal_id"), F.col("k").alias("deal_k"), F.col("srv").alias("valid_from"))
+    versions_ = deals.withColumn("valid_to", F.lead("valid_from").over(windows.ordered(["buyer"], "valid_from")))
+    found = joins.as_of_sorted(rows, versions_, ("user_id", "buyer"), "srv", how="left")
+    return found.select("event_id", "deal_id", "deal_k", (F.col("srv") - F.col("valid_from")).alias("age_ms"))
+
+
+@query("""SELECT n_regionkey, count(*) AS samples, round(quantile_cont(b, 0.01), 4) AS p0, round(quantile_cont(b, 0.5), 4) AS p1, round(quantile_cont(b, 0.999), 4) AS p2, max(b) AS largest
+FROM (SELECT n_regionkey, CASE WHEN c_custkey % 7 > 0 THEN c_acctbal END AS b FROM customer JOIN nation ON c_nationkey = n_nationkey) WHERE b IS NOT NULL GROUP BY n_regionkey""")
+def order_statistics(spark, sf_dir):
+    """Balances by region, nulls among them: three shares from one selection."""
+    people = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = people.select("n_regionkey", F.when(F.col("c_custkey") % 7 > 0, F.col("c_acctbal")).alias("b"))
+    found = ranges.exact_percentiles(rows, ["n_regionkey"], "b", [0.01, 0.5, 0.999], parts=16)
+    return found.select("n_regionkey", "samples", *[F.round(f"p{i}", 4).alias(f"p{i}") for i in range(3)], "largest")

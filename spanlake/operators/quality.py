@@ -76,3 +76,12 @@ def values_with(rows: DataFrame, needles: list[str]) -> DataFrame:
     """Rows in which any value at any depth holds one of the strings (withheld origins, say)."""
     text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]))
     return rows.where(F.exists(F.array(*[F.lit(n) for n in needles]), lambda n: F.contains(text, n))) if needles else rows.limit(0)
+
+
+def digest(rows: DataFrame) -> DataFrame:
+    """rows, content, nulls: how many rows, the sum of a 64-bit hash of each row's values as text, and the nulls of each column in the order of the columns.
+    The order of rows doesn't count, repeated rows do; one changed cell changes `content`. Columns of plain types only."""
+    cells = [F.col(f"`{c}`").cast("string") for c in rows.columns]
+    hashed = F.xxhash64(*[F.coalesce(c, F.lit("\x00null")) for c in cells]) if cells else F.lit(0)
+    nulls = F.array(*[F.count_if(c.isNull()) for c in cells]).cast("array<bigint>")
+    return rows.agg(F.count("*").alias("rows"), F.coalesce(F.sum(hashed.cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").alias("content"), nulls.alias("nulls"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from spanlake.functions.expr import origin_of, seconds
 from spanlake.operators.windows import rank_by_first_seen, running_count
 from spanlake.sources.contract import ALARM_CLASSES, REQUIRED_FIELDS, SECTIONS, TRACE_LEVELS, VISIBILITIES, RECORD_KINDS, cap
-from spanlake.sources.landing import MALFORMED, Reference, current
+from spanlake.sources.landing import MALFORMED, RECORD, Reference, current
 
 RULE = "struct<relation:string,reason:string,detail:string>"
 LOAD = ["session_id", "page_load_seq"]
@@ -20,7 +20,7 @@ def landed(raw: DataFrame) -> DataFrame:
     Records of one arrival time are ordered hello first, then by kind and content, so the count of hellos is
     the same in every run."""
     dealt = raw.repartition("session_id")
-    tied = dealt.withColumns({"__first": F.when(F.col("kind") == "hello", 0).otherwise(1), "__row": F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns if c not in ("events", "pulse", "blockers", "trace")])})
+    tied = dealt.withColumns({"__first": F.when(F.col("kind") == "hello", 0).otherwise(1), "__row": F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns if c not in ("events", "pulse", "blockers", "trace", RECORD)])})
     counted = tied.withColumn("__hellos", running_count(F.col("kind") == "hello", ["session_id"], "srv", "__first", "kind", "__row"))
     client = F.coalesce(F.col("cid"), F.concat_ws("#", "session_id", F.col("__hellos").cast("string")))
     named = counted.withColumns({"client_id": client, "precedes_first_hello": F.col("__hellos") == 0, "has_native_client_id": F.col("cid").isNotNull()})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,8 @@ from spanlake.sources.contract import WIRE, merged
 SESSION_FILE = r"session-([0-9TZ:.-]+)\.jsonl$"
 MALFORMED = "_corrupt_record"
 UNKNOWN_SESSION = "unknown"
+#: The column that holds a whole line.
+RECORD = "record"
 
 
 def session_id_of(path) -> F.Column:
@@ -26,22 +29,59 @@ def identified(records: DataFrame, path) -> DataFrame:
     return records.withColumns({"session_id": session_id_of(path), "session_date": F.to_date(instant("srv"))})
 
 
+def read_lines(spark: SparkSession, path: str, schema: T.StructType = WIRE, mode: str = "PERMISSIVE", line_bytes: int | None = None, keep: bool = False) -> DataFrame:
+    """JSON lines by one scan of their text: the schema's columns, _corrupt_record, and line_size, the bytes of the line as read.
+
+    A line that is no JSON, holds a value of another type, or has more than `line_bytes` bytes comes with its text in _corrupt_record (mode FAILFAST
+    raises for the first two). Blank lines are no records. With `keep` the whole line is also there as a VARIANT in `record`, so what the
+    contract lacks is kept at any depth without a look at the data first; see `unknown_fields` and `with_unknown`."""
+    fields = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
+    lines = spark.read.text(path).where(F.trim("value") != "").select("value", F.col("_metadata.file_path").alias("__path"), F.octet_length("value").alias("line_size"))
+    parsed = lines.withColumn("__r", F.from_json("value", fields, {"mode": mode, "columnNameOfCorruptRecord": MALFORMED}))
+    told = [F.col("__r")[f.name].alias(f.name, metadata=f.metadata) for f in schema.fields]
+    long = F.col("line_size") > line_bytes if line_bytes else F.lit(False)
+    record = [F.expr("try_parse_json(value)").alias(RECORD)] if keep else []
+    records = parsed.select(*told, F.when(long, F.col("value")).otherwise(F.col("__r")[MALFORMED]).alias(MALFORMED), "line_size", *record, "__path")
+    return identified(records, F.col("__path")).drop("__path")
+
+
 def read_wire(spark: SparkSession, path: str, admit_unknown: bool = True, mode: str = "PERMISSIVE", line_bytes: int | None = None) -> DataFrame:
-    """JSON lines under the contract's schema. Fields that the contract lacks are added with the types found in the data; a line
-    that is no JSON, or holds a value of another type, comes with its text in _corrupt_record (mode FAILFAST raises).
-    `line_bytes`: lines longer than this are malformed too."""
+    """`read_lines` under the contract's schema and, with `admit_unknown`, the fields that the contract lacks with the types found in the data (which takes a
+    scan of its own; `read_lines` with `keep` does without)."""
     schema = WIRE
     if admit_unknown:
         seen = spark.read.option("mode", "PERMISSIVE").json(path).schema
         seen = T.StructType([f for f in seen.fields if f.name != MALFORMED])
         schema = merged(WIRE, seen)
-    fields = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
-    reader = spark.read.schema(fields).option("mode", mode).option("columnNameOfCorruptRecord", MALFORMED)
-    records = identified(reader.json(path), F.col("_metadata.file_path"))
-    if line_bytes:
-        long = F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in records.columns]))) > line_bytes
-        records = records.withColumn(MALFORMED, F.when(long, F.coalesce(MALFORMED, F.lit("line too long"))).otherwise(F.col(MALFORMED)))
-    return records
+    return read_lines(spark, path, schema, mode, line_bytes).drop("line_size")
+
+
+def _lacking(contract: T.DataType, seen: T.DataType) -> T.DataType | None:
+    """What of `seen` the contract lacks, at any depth; None if nothing."""
+    if isinstance(contract, T.StructType) and isinstance(seen, T.StructType):
+        known = {f.name: f.dataType for f in contract.fields}
+        new = {f.name: f.dataType if f.name not in known else _lacking(known[f.name], f.dataType) for f in seen.fields}
+        fields = [T.StructField(name, kind) for name, kind in new.items() if kind is not None]
+        return T.StructType(fields) if fields else None
+    if isinstance(contract, T.ArrayType) and isinstance(seen, T.ArrayType):
+        inner = _lacking(contract.elementType, seen.elementType)
+        return T.ArrayType(inner) if inner is not None else None
+    return None
+
+
+def unknown_fields(records: DataFrame, contract: T.StructType = WIRE) -> T.StructType:
+    """The fields in `record` that the contract lacks, at any depth, with their types (VARIANT where rows differ): one aggregation over landed rows."""
+    told = records.agg(F.expr(f"schema_of_variant_agg({RECORD})")).first()[0]
+    if told is None or not told.startswith("OBJECT<"):
+        return T.StructType()
+    seen = T._parse_datatype_string(re.sub(r"\bOBJECT<", "STRUCT<", told))
+    return _lacking(contract, seen) or T.StructType()
+
+
+def with_unknown(records: DataFrame, fields: T.StructType) -> DataFrame:
+    """A column unknown_<name> for each top-level field of `fields`, read from `record`; null where a row lacks it or holds another type."""
+    read = {f"unknown_{f.name}": F.try_variant_get(F.col(RECORD), f"$['{f.name}']", f.dataType.simpleString()) for f in fields.fields}
+    return records.withColumns(read)
 
 
 def land(records: DataFrame, path: str) -> None:

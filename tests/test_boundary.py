@@ -63,7 +63,7 @@ def test_gate_names_every_problem_once(spark):
     assert got == ["Unix home path", "Windows drive path", "un-trimmed ua curl/8", "unlisted origin https://x.example"]
 
 
-def test_publish_load_and_evidence(spark, capture):
+def test_publish_load_and_evidence(spark, capture, monkeypatch):
     root, reference, raw, secret = capture
     made = lake.build(spark, raw, reference)
     chosen = {n: made[n] for n in ("sessions", "session_summary", "spans", "session_context", "quarantine")}
@@ -77,7 +77,17 @@ def test_publish_load_and_evidence(spark, capture):
     assert spark.sql("SELECT count(*) FROM spans").first()[0] == 8
     url, props = f"jdbc:derby:memory:t{abs(hash(str(root)))};create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
     assert publish.load(spark, str(root / "out"), url, props) == sorted(chosen)
+    # A load that fails on the way leaves the tables that are there.
+    publish.published(spark, str(root / "out"))["spans"].limit(3).write.parquet(str(root / "less" / "sessions"))
+    numbers = iter(range(9))
+    with monkeypatch.context() as patched, pytest.raises(RuntimeError):
+        patched.setattr(publish, "digest", lambda rows: quality.digest(rows).withColumn("rows", F.lit(next(numbers))))  # no two agree
+        publish.load(spark, str(root / "less"), url, props)
+    assert spark.read.jdbc(url, "sessions", properties=props).count() == 1 and len(spark.read.jdbc(url, "sessions", properties=props).columns) > 10
+    assert publish.load(spark, str(root / "out"), url, props) == sorted(chosen)
     proof = publish.evidence(spark, chosen, str(root / "out"), url, props).collect()
+    changed = chosen | {"spans": chosen["spans"].withColumn("ms", F.when(F.col("span") == "hud", F.col("ms") + 1e-9).otherwise(F.col("ms")))}
+    assert {r.relation for r in publish.evidence(spark, changed, str(root / "out"), url, props).collect() if r.verdict == "differ"} == {"spans"}
     assert {r.verdict for r in proof} == {"match"} and {r.relation: r.is_empty for r in proof}["quarantine"] is True
     made.release()
 
@@ -189,3 +199,23 @@ def test_rank_inversions_over_ranges(spark):
             want.add((rank, score, best))
     got = quality.rank_inversions(spark.createDataFrame(rows, "place int, score int").repartition(7), "place", "score")
     assert {tuple(r) for r in got.collect()} == want and got.columns == ["place", "score", "best_after"]
+
+
+def test_lines_are_measured_as_read_and_keep_what_is_unknown(spark, tmp_path):
+    lines = ['{"kind":"beat","srv":1,"msg":"éé","more":{"deep":[{"a":1}]}}', '{ "srv": 2, "kind": "beat", "pulse": {"state": "menu", "mood": "good"} }', '{"kind":"beat","srv":"late"}', "no json", "   ", '{"kind":"bye","srv":3}']
+    folder = write_log(tmp_path / "in", lines)
+    size = [len(x.encode()) for x in lines if x.strip()]
+    records = landing.read_lines(spark, folder, keep=True)
+    assert [r.line_size for r in records.collect()] == size
+    assert records._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    for most in (size[0] - 1, size[0], size[0] + 1):
+        bad = {r.line_size for r in landing.read_lines(spark, folder, line_bytes=most).where("_corrupt_record IS NOT NULL").collect()}
+        assert bad == {size[2], size[3]} | {n for n in size if n > most}
+    assert [r._corrupt_record for r in landing.read_wire(spark, folder, line_bytes=size[0] - 1).orderBy("srv").collect() if r.srv == 1] == [lines[0]]
+    landing.land(records, str(tmp_path / "raw"))
+    raw = spark.read.parquet(str(tmp_path / "raw"))
+    fields = landing.unknown_fields(raw)
+    assert fields.simpleString() == "struct<more:struct<deep:array<struct<a:bigint>>>,pulse:struct<mood:string>>"
+    told = {r.srv: r for r in landing.with_unknown(raw, fields).where("kind = 'beat' AND srv IS NOT NULL").collect()}
+    assert told[1].unknown_more.deep[0].a == 1 and told[2].unknown_pulse.mood == "good" and told[2].unknown_more is None
+    assert landing.unknown_fields(landing.read_lines(spark, write_log(tmp_path / "none", []), keep=True)).fields == []

@@ -6,6 +6,7 @@ arrival: ts), orders and lineitem for traces and spans.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from spanlake.functions import expr
 from spanlake.operators import joins, quality, ranges, windows
 from spanlake.plans import consumers, curated, export, gold
 from spanlake.plans.typed import TRACE_LINE, rule, unpivoted
+from spanlake.sources import landing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -629,3 +631,43 @@ def order_statistics(spark, sf_dir):
     rows = people.select("n_regionkey", F.when(F.col("c_custkey") % 7 > 0, F.col("c_acctbal")).alias("b"))
     found = ranges.exact_percentiles(rows, ["n_regionkey"], "b", [0.01, 0.5, 0.999], parts=16)
     return found.select("n_regionkey", "samples", *[F.round(f"p{i}", 4).alias(f"p{i}") for i in range(3)], "largest")
+
+
+# landing and evidence
+
+LINE_BYTES = 150
+
+
+def _line() -> Column:
+    """A record as a line of text, with fields that the contract lacks and a text of k two-byte letters."""
+    return F.concat(F.lit('{"kind":"beat","srv":'), F.col("srv").cast("string"), F.lit(',"msg":"'), F.expr("repeat('é', CAST(k AS INT))"), F.lit('","pulse":{"kills":'), F.col("k").cast("string"), F.lit(',"mood":"'), F.col("event_type"), F.lit('"},"more":{"id":'), F.col("event_id").cast("string"), F.lit("}}"))
+
+
+@query(f"""WITH log AS ({LOG}), l AS (SELECT event_id, srv, k, event_type, '{{"kind":"beat","srv":' || srv || ',"msg":"' || repeat('é', k) || '","pulse":{{"kills":' || k || ',"mood":"' || event_type || '"}},"more":{{"id":' || event_id || '}}}}' AS line FROM log WHERE k IS NOT NULL)
+SELECT event_id, srv, k AS kills, event_type AS mood, strlen(line) AS line_size, CASE WHEN strlen(line) > {LINE_BYTES} THEN md5(line) END AS too_long FROM l""")
+def line_landing(spark, sf_dir):
+    """Events written as lines of text and landed by one scan: sizes in bytes as read, lines over the limit with their text, unknown fields at two depths."""
+    folder = f"{ranges.shared_dir(spark)}/spanlake/lines-{uuid.uuid4().hex}"
+    log(spark, sf_dir).where("k IS NOT NULL").select(_line()).write.text(folder)
+    records = landing.read_lines(spark, folder, line_bytes=LINE_BYTES, keep=True)
+    told = landing.with_unknown(records, landing.unknown_fields(records))
+    return told.select(F.col("unknown_more.id").alias("event_id"), "srv", F.col("pulse.kills").alias("kills"), F.col("unknown_pulse.mood").alias("mood"), F.col("line_size").cast("long").alias("line_size"), F.md5(landing.MALFORMED).alias("too_long"))
+
+
+@query("""WITH a AS (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY ALL), b AS (SELECT o_orderkey AS k, o_custkey AS c FROM orders)
+SELECT 'same' AS compared, count(*) AS rows, true AS equal, count(*) - count(nullif(n % 2, 0)) AS nulls FROM a UNION ALL SELECT 'one cell changed', count(*), false, count(*) - count(nullif(n % 2, 0)) FROM a
+UNION ALL SELECT 'one row twice for another', count(*), false, count(*) - count(nullif(n % 2, 0)) + (SELECT CASE WHEN x.n % 2 = 0 THEN 1 ELSE 0 END - CASE WHEN y.n % 2 = 0 THEN 1 ELSE 0 END FROM (SELECT n FROM a ORDER BY k DESC LIMIT 1) x, (SELECT n FROM a ORDER BY k LIMIT 1) y) FROM a""")
+def content_digest(spark, sf_dir):
+    """Lines of each order in three copies against the relation itself: dealt anew, with one cell changed, and with the first order replaced by the last."""
+    counts = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.count("*").alias("n"))
+    rows = counts.select("k", "n", F.nullif(F.col("n") % 2, F.lit(0)).alias("odd"))
+    ends = counts.agg(F.min("k").alias("lo"), F.max("k").alias("hi"))  # a row
+    at = rows.crossJoin(F.broadcast(ends))
+    changed = at.withColumn("n", F.when(F.col("k") == F.col("lo"), F.col("n") + 100).otherwise(F.col("n"))).select(*rows.columns)
+    twice = at.where(F.col("k") != F.col("lo")).withColumn("copies", F.when(F.col("k") == F.col("hi"), 2).otherwise(1)).select(*rows.columns, F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*rows.columns)
+    out, whole = None, quality.digest(rows).select(F.struct("*").alias("whole"))
+    for name, other in (("same", rows.repartition(7, "n")), ("one cell changed", changed), ("one row twice for another", twice)):
+        one = quality.digest(other).select(F.struct("*").alias("d")).crossJoin(whole)  # a row each
+        told = one.select(F.lit(name).alias("compared"), F.col("d.rows").alias("rows"), (F.col("d") == F.col("whole")).alias("equal"), F.col("d.nulls")[2].alias("nulls"))
+        out = told if out is None else out.unionByName(told)
+    return out

@@ -65,7 +65,7 @@ def clock_skew(records: DataFrame, sessions: DataFrame) -> DataFrame:
 
 def srv_gaps(records: DataFrame, more_than: int = GAP_MS) -> DataFrame:
     """Arrivals of one file more than three beats apart."""
-    found = windows.gaps(records.select(*LOAD, "srv", "vis"), ["session_id"], "srv", more_than, carry=["vis"])
+    found = ranges.gaps(records.select(*LOAD, "srv", "vis"), ["session_id"], "srv", more_than, carry=["vis"])
     return found.select(*LOAD, "prev_srv", "srv", seconds(F.col("srv") - F.col("prev_srv")).alias("gap_s"), "prev_vis", "vis")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanlake.functions.expr import origin_of, seconds
-from spanlake.operators.windows import rank_by_first_seen, running_count
+from spanlake.operators import ranges
 from spanlake.sources.contract import ALARM_CLASSES, REQUIRED_FIELDS, SECTIONS, TRACE_LEVELS, VISIBILITIES, RECORD_KINDS, cap
 from spanlake.sources.landing import MALFORMED, RECORD, Reference, current
 
@@ -15,16 +15,15 @@ LOAD = ["session_id", "page_load_seq"]
 
 
 def landed(raw: DataFrame) -> DataFrame:
-    """Records with client_id, page_load_seq and the orphan flag. One shuffle, by session, serves all windows.
+    """Records with client_id, page_load_seq and the orphan flag, by scans over ranges: a session may be of any size.
 
     Records of one arrival time are ordered hello first, then by kind and content, so the count of hellos is
     the same in every run."""
-    dealt = raw.repartition("session_id")
-    tied = dealt.withColumns({"__first": F.when(F.col("kind") == "hello", 0).otherwise(1), "__row": F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns if c not in ("events", "pulse", "blockers", "trace", RECORD)])})
-    counted = tied.withColumn("__hellos", running_count(F.col("kind") == "hello", ["session_id"], "srv", "__first", "kind", "__row"))
+    tied = raw.withColumns({"__first": F.when(F.col("kind") == "hello", 0).otherwise(1), "__row": F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns if c not in ("events", "pulse", "blockers", "trace", RECORD)])})
+    counted = ranges.running_count(tied, F.col("kind") == "hello", ["session_id"], "srv", "__first", "kind", "__row", out="__hellos")
     client = F.coalesce(F.col("cid"), F.concat_ws("#", "session_id", F.col("__hellos").cast("string")))
     named = counted.withColumns({"client_id": client, "precedes_first_hello": F.col("__hellos") == 0, "has_native_client_id": F.col("cid").isNotNull()})
-    return rank_by_first_seen(named, ["session_id"], "client_id", "srv", "page_load_seq").drop("__first", "__row", "__hellos")
+    return ranges.rank_by_first_seen(named, ["session_id"], "client_id", "srv", "page_load_seq").drop("__first", "__row", "__hellos")
 
 
 def _members(table: DataFrame, column: str) -> list[str]:

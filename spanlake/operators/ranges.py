@@ -35,7 +35,17 @@ def written(rows: DataFrame, name: str, *by: str) -> DataFrame:
     """The rows as a table in the shared folder, in a directory for each value of `by`; lineage ends here."""
     path = f"{shared_dir(rows.sparkSession)}/spanlake/{name}-{uuid.uuid4().hex}"
     (rows.write.partitionBy(*by) if by else rows.write).parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    out = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(rows: DataFrame) -> None:
+    """Delete the table that written() made of these rows, once nothing reads it any more."""
+    spark, path = rows.sparkSession, getattr(rows, "scratch_path", None)
+    if path:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 @dataclass(frozen=True)

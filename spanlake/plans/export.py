@@ -170,8 +170,10 @@ def batched(records: DataFrame, most: int = BATCH_BYTES, wrapper: int = 0, parts
     width = BLOCK_BATCHES * room
     text = records.select("at_ms", (F.col("json") if "json" in records.columns else F.to_json("record")).alias("json")).where("json IS NOT NULL")
     sized = text.withColumn("bytes", F.octet_length("json").cast("long") + 1)
-    summed = ranges.deal(sized, [], "at_ms", "json", parts=parts).scan(at=ranges.total(F.col("bytes"), inclusive=False)).rows()
+    dealt = ranges.deal(sized, [], "at_ms", "json", parts=parts)
+    summed = dealt.scan(at=ranges.total(F.col("bytes"), inclusive=False)).rows()
     placed = ranges.written(summed.withColumn("block", F.floor(F.col("at") / width)), "placed")
+    ranges.discard(dealt.frame)  # all that follows reads the placed records
     narrow = placed.select("block", "at", "bytes", F.lit(True).alias("own"))
     heads = narrow.where((F.col("at") - F.col("block") * width <= room) & (F.col("block") > 0)).select((F.col("block") - 1).alias("block"), "at", "bytes", F.lit(False).alias("own"))
     both = narrow.union(heads.join(narrow.select("block").distinct(), "block", "left_semi"))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 RANGE, TIE = "__range", "__tie"
+TEXT_CHARS = 64
 _OWN: list[str] = []
 
 
@@ -34,7 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
 def written(rows: DataFrame, name: str, *by: str) -> DataFrame:
     """The rows as a table in the shared folder, in a directory for each value of `by`; lineage ends here."""
     path = f"{shared_dir(rows.sparkSession)}/spanlake/{name}-{uuid.uuid4().hex}"
-    (rows.write.partitionBy(*by) if by else rows.write).parquet(path)
+    (rows.write.partitionBy(*by) if by else rows.write).option("compression", "zstd").parquet(path)
     out = rows.sparkSession.read.schema(rows.schema).parquet(path)
     out.scratch_path = path
     return out
@@ -149,11 +150,19 @@ class Dealt:
 
 def deal(rows: DataFrame, by: list[str], *order: str | tuple[str, bool], parts: int | None = None) -> Dealt:
     """Rows dealt by ranges and written. Rows that tie in key and order are put in an order by their content, so every run agrees; only
-    equal rows can't be parted. Without `parts` Spark chooses as many ranges as the data asks for."""
+    equal rows can't be parted (with a text in the order, rows alike up to its first TEXT_CHARS characters). Without `parts` Spark chooses as many ranges as the data asks for."""
     told = [(o, False) if isinstance(o, str) else o for o in order]
     plain = [c for c, kind in rows.dtypes if "map<" not in kind and "variant" not in kind]
     tied = rows.withColumn(TIE, F.xxhash64(*[F.col(f"`{c}`") for c in plain]))
-    sort = [*[F.col(c).asc() for c in by], *[_sort(o) for o in told], F.col(TIE)]
+    sort, kinds = [F.col(c).asc() for c in by], dict(rows.dtypes)
+    for name, down in told:
+        if kinds[name] == "string":  # Spark gathers a sample of what it ranges by, so texts count with their beginnings and end the list
+            begin = F.substring(name, 1, TEXT_CHARS)
+            sort.append(begin.desc_nulls_last() if down else begin.asc_nulls_last())
+            break
+        sort.append(_sort((name, down)))
+    else:
+        sort.append(F.col(TIE))
     ranged = tied.repartitionByRange(*([parts] if parts else []), *sort).withColumn(RANGE, F.spark_partition_id())
     return Dealt(written(ranged, "dealt", RANGE), list(by), told)
 

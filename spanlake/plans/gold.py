@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanlake.functions.expr import first_by, instant, last_by, ratio, seconds
@@ -185,15 +185,16 @@ def global_rank(rows: DataFrame, order: list[tuple[str, bool]], out: str = "rank
 
 
 def run_scorecard(runs: DataFrame, pulses: DataFrame) -> DataFrame:
-    window = windows.ordered(["run_id"], "srv")
-    timed = pulses.select("run_id", "state", "kills", "hp", F.round(seconds(F.col("srv") - F.min("srv").over(Window.partitionBy("run_id"))), 1).alias("t"), (F.col("kills") - F.coalesce(F.lag("kills").over(window), F.lit(0))).alias("added"))
-    marks = timed.groupBy("run_id").agg(
-        F.min(F.when(F.col("kills") >= 1, F.col("t"))).alias("t_first_kill_s"), F.min(F.when(F.col("kills") >= 50, F.col("t"))).alias("t_50_kills_s"), F.min(F.when(F.col("state") == "boss_fight", F.col("t"))).alias("t_boss_s"),
-        F.max("added").alias("max_kills_one_beat"), (F.max("hp") - F.min("hp")).alias("hp_lost"),
+    """Each run's rank, rate and marks: how long into it a kill, 50 kills and a boss fight first came, and the most kills that one pulse added."""
+    srv, kills = F.col("srv"), F.col("kills")
+    into = lambda reached: F.round(seconds(F.min(F.when(reached, srv)) - F.min(srv)), 1)
+    before = F.coalesce(F.lag("kills").over(windows.ordered(["run_id"], "srv")), F.lit(0))
+    progress = pulses.withColumn("__gain", kills - before).groupBy("run_id").agg(
+        into(kills >= 1).alias("t_first_kill_s"), into(kills >= 50).alias("t_50_kills_s"), into(F.col("state") == "boss_fight").alias("t_boss_s"), F.max("__gain").alias("max_kills_one_beat"), (F.max("hp") - F.min("hp")).alias("hp_lost"),
     )
-    ranked = global_rank(runs, [("kills", True), ("sim_active_s", False)], "rank_by_kills")
-    out = ranked.join(marks, "run_id")
-    return out.select("rank_by_kills", "run_id", "character_key", "first_map", "maps_visited", "outcome", "kills", "kill_events", "duration_s", "sim_active_s", F.round(ratio(F.col("kills") * 60.0, F.col("sim_active_s")), 1).alias("kills_per_min"), "t_first_kill_s", "t_50_kills_s", "t_boss_s", "max_kills_one_beat", "hp_lost")
+    rate = F.round(ratio(kills * 60.0, F.col("sim_active_s")), 1).alias("kills_per_min")
+    shown = ("character_key", "first_map", "maps_visited", "outcome", "kills", "kill_events", "duration_s", "sim_active_s")
+    return global_rank(runs, [("kills", True), ("sim_active_s", False)], "rank_by_kills").join(progress, "run_id").select("rank_by_kills", "run_id", *shown, rate, "t_first_kill_s", "t_50_kills_s", "t_boss_s", "max_kills_one_beat", "hp_lost")
 
 
 def kill_groups(kill_events: DataFrame, gap_ms: int) -> DataFrame:

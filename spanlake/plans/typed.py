@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +28,12 @@ def landed(raw: DataFrame) -> DataFrame:
     return ranges.rank_by_first_seen(named, ["session_id"], "client_id", "srv", "page_load_seq").drop("__first", "__row", "__hellos")
 
 
-def _members(table: DataFrame, column: str) -> list[str]:
-    """Declared members: a reference table is small by its nature."""
-    return sorted({r[0] for r in table.select(column).where(F.col(column).isNotNull()).collect()})
+def with_members(records: DataFrame, reference: Reference) -> DataFrame:
+    """Records with `__known`, the declared members of each enumeration: one row, made in the same job and joined to all records."""
+    tables = {"state": current(reference.states), "mode": reference.modes, "char": current(reference.characters), "boss": current(reference.bosses), "origin": reference.origins}
+    every = reduce(DataFrame.unionByName, [t.select(F.lit(n).alias("name"), F.col(n).alias("member")) for n, t in tables.items()])
+    one = every.agg(F.struct(*[F.collect_set(F.when(F.col("name") == n, F.col("member"))).alias(n) for n in tables]).alias("__known"))
+    return records.crossJoin(one)
 
 
 def rule(broken: Column, relation: str, reason: str, detail: Column) -> Column:
@@ -39,20 +44,20 @@ def _told(name: str, value: Column) -> Column:
     return F.concat(F.lit(f"{name}="), F.coalesce(value.cast("string"), F.lit("<null>")))
 
 
-def rules(records: DataFrame, reference: Reference, strict: bool = False) -> list[Column]:
-    """Each rule as a column: null where it holds. `strict` adds the declared rules that are opt-in."""
+def rules(records: DataFrame, strict: bool = False) -> list[Column]:
+    """Each rule as a column of records that went through with_members: null where it holds. `strict` adds the declared rules that are opt-in."""
     kind, pulse = F.col("kind"), F.col("pulse")
-    enums = {"state": current(reference.states), "mode": reference.modes, "char": current(reference.characters), "boss": current(reference.bosses)}
+    unknown = lambda name, value: ~F.array_contains(F.col("__known")[name], value)
     out = [rule(F.col("precedes_first_hello"), "landed", "orphan_record_no_hello", F.lit("record precedes the first hello in its session file"))]
-    for name, table in enums.items():
-        out.append(rule(pulse.isNotNull() & ~pulse[name].isin(_members(table, name)), "pulses", f"{name}_not_in_contract", _told(name, pulse[name])))
+    for name in ("state", "mode", "char", "boss"):
+        out.append(rule(pulse.isNotNull() & unknown(name, pulse[name]), "pulses", f"{name}_not_in_contract", _told(name, pulse[name])))
     size = F.size("events")
     out += [
         rule((kind == "alarm") & ~F.col("class").isin(*ALARM_CLASSES), "alarms", "alarm_class_not_in_contract", _told("class", F.col("class"))),
         rule((kind == "beat") & (size > cap("events_per_beat")), "beats", "events_per_beat_over_cap", _told("events", size)),
         rule((kind == "bye") & (size > cap("events_per_bye")), "sessions", "events_per_bye_over_cap", _told("events", size)),
         rule(F.col("trace.frames") > cap("trace_frames"), "spans", "trace_frames_over_cap", _told("frames", F.col("trace.frames"))),
-        rule((kind == "hello") & ~origin_of(F.col("href")).isin(_members(reference.origins, "origin")), "sessions", "origin_not_in_reference", _told("origin", origin_of(F.col("href")))),
+        rule((kind == "hello") & unknown("origin", origin_of(F.col("href"))), "sessions", "origin_not_in_reference", _told("origin", origin_of(F.col("href")))),
         rule(F.col("srv").isNull(), "landed", "srv_missing", F.lit("srv IS NULL")),
     ]
     if MALFORMED in records.columns:
@@ -67,10 +72,14 @@ def rules(records: DataFrame, reference: Reference, strict: bool = False) -> lis
     return out
 
 
+def broken(records: DataFrame, strict: bool = False) -> Column:
+    """The reports on a record."""
+    return F.filter(F.array(*[r.cast(RULE) for r in rules(records, strict)]), lambda r: r.isNotNull())
+
+
 def quarantine(records: DataFrame, reference: Reference, strict: bool = False) -> DataFrame:
     """A row for each rule that a record breaks, from one pass over the records."""
-    broken = F.filter(F.array(*[r.cast(RULE) for r in rules(records, reference, strict)]), lambda r: r.isNotNull())
-    kept = records.select(*LOAD, "srv", "kind", F.explode(broken).alias("rule"))
+    kept = with_members(records, reference).select(*LOAD, "srv", "kind", F.explode(broken(records, strict)).alias("rule"))
     return kept.select("rule.relation", *LOAD, "srv", "kind", "rule.reason", "rule.detail")
 
 
@@ -101,7 +110,7 @@ def quarantine_summary(faults: DataFrame) -> DataFrame:
 def with_origin(rows: DataFrame, origins: DataFrame) -> DataFrame:
     """origin_kind and origin_may_publish; an origin that no row names is unlisted and may not be published."""
     known = origins.select("origin", F.col("kind").alias("__kind"), F.col("may_publish").alias("__may"))
-    joined = rows.join(F.broadcast(known), "origin", "left")  # one row for each declared origin
+    joined = rows.join(known, "origin", "left")
     return joined.withColumns({"origin_kind": F.coalesce("__kind", F.lit("unlisted")), "origin_may_publish": F.coalesce("__may", F.lit(False))}).drop("__kind", "__may")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from spanlake.functions.expr import instant
-from spanlake.plans.typed import RULE, rules
+from spanlake.plans.typed import broken, with_members
 from spanlake.sources.contract import WIRE
 from spanlake.sources.landing import MALFORMED, Reference, identified
 
@@ -36,8 +36,7 @@ def split_live(records: DataFrame, reference: Reference, good: str, bad: str, ch
 
     def write(batch: DataFrame, number: int) -> None:
         alone = batch.withColumns({"precedes_first_hello": F.lit(False), "page_load_seq": F.lit(None).cast("int")})
-        faults = F.filter(F.array(*[r.cast(RULE) for r in rules(alone, reference)]), lambda r: r.isNotNull())
-        marked = alone.withColumn("faults", faults).persist()
+        marked = with_members(alone, reference).withColumn("faults", broken(alone)).drop("__known").persist()
         try:
             whole = F.col("srv").isNull() | F.col(MALFORMED).isNotNull()
             marked.where(~whole).drop("faults", "precedes_first_hello", "page_load_seq", MALFORMED).write.mode("overwrite").parquet(f"{good}/batch={number}")

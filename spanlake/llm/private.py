@@ -36,13 +36,20 @@ IBAN_LENGTHS = {
 }
 DIGITS, LOWER, UPPER, HEX, HEX_UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef", "0123456789ABCDEF"
 
+#: Code points from which letters of addresses come: ASCII, Latin-1 and Latin Extended-A, Greek, Cyrillic (fixed values).
+SCRIPTS = ((0x41, 0x7A), (0xC0, 0x17F), (0x391, 0x3C9), (0x400, 0x45F))
+#: Small letters by script, each with one capital in the same script; other letters of a script stay as they are.
+ALPHABETS = tuple("".join(x for x in map(chr, range(a, b + 1)) if x.isalpha() and x != x.upper() and x.upper().lower() == x and a <= ord(x.upper()[0]) and len(x.upper()) == 1) for a, b in SCRIPTS)
+SMALL = {x.upper(): x for alphabet in ALPHABETS for x in alphabet}
+LETTERS = "".join(x for a, b in SCRIPTS for x in map(chr, range(a, b + 1)) if x.isalpha())
+
 FOUND = re.compile(
-    r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![A-Za-z0-9-]))"
+    rf"(?P<email>(?<![{LETTERS}0-9._%+-])[{LETTERS}0-9_%+-]+(?:\.[{LETTERS}0-9_%+-]+)*@[{LETTERS}0-9-]+(?:\.[{LETTERS}0-9-]+)*\.[A-Za-z]{{2,}}(?![{LETTERS}0-9-]))"
     r"|(?P<secret>(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z]))"
     r"|(?P<iban>(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z]))"
     r"|(?P<key>(?<![0-9A-Za-z])(?:sk-|pk-|AKIA|ASIA|gh[pousr]_|glpat-|xox[abp]-)(?=[A-Za-z_-]*[0-9])[0-9A-Za-z_-]{16,}(?![0-9A-Za-z]))"
-    r"|(?P<ip6>(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}:){3,7}(?::?[0-9A-Fa-f]{1,4}){1,5}(?![0-9A-Za-z:]))"
-    r"|(?P<ip>(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9]))"
+    r"|(?P<ip6>(?<![0-9A-Za-z:.])(?=[A-Fa-f:]*[0-9])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}::[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5}|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7})(?![0-9A-Za-z:]))"
+    r"|(?P<ip>(?<![0-9.vV])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9]))"
     r"|(?P<ssn>(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))"
     r"|(?P<date>(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9/-]|\.[0-9]))"
     r"|(?P<card>(?<![0-9A-Za-z.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]|[.-][0-9]))"
@@ -141,9 +148,12 @@ class Pseudonyms:
         return "".join(out)
 
     def email(self, text: str, back: bool = False) -> str:
+        """Name and host permuted as small letters; capitals stay where they are, so that addresses are linked whatever their case."""
         name, _, host = text.rpartition("@")
         rest, _, top = host.rpartition(".")
-        return self._word(f"{name}@{rest}", f"email.{top}", back) + f".{top}"
+        word = f"{name}@{rest}"
+        new = self._word("".join(SMALL.get(x, x) for x in word), f"email.{top.lower()}", back, (DIGITS, *ALPHABETS))
+        return "".join(x.upper() if old in SMALL else x for x, old in zip(new, word)) + f".{top}"
 
     def secret(self, text: str, back: bool = False) -> str | None:
         upper = any(x in "ABCDEF" for x in text)
@@ -184,14 +194,14 @@ class Pseudonyms:
         return ".".join(map(str, value.to_bytes(4, "big")))
 
     def ip6(self, text: str, back: bool = False) -> str | None:
-        """The address's 128 bits, written in the usual short form."""
+        """The address's 128 bits, written in the usual short form. One whose short form isn't found, such as ::1, stays in every form."""
         try:
             value = int(ipaddress.IPv6Address(text))
         except ValueError:
             return None
         shown = lambda x: str(ipaddress.IPv6Address(x))
         fits = lambda x: (m := FOUND.fullmatch(shown(x))) is not None and m.lastgroup == "ip6"
-        return shown(self._until(value, lambda x: self.permute(x, 1 << 128, "ip6", back), fits))
+        return shown(self._until(value, lambda x: self.permute(x, 1 << 128, "ip6", back), fits)) if fits(value) else None
 
     def _digits(self, text: str, label: str, back: bool) -> str:
         """Digits permuted together, whatever stands between them; all else stays in place."""
@@ -215,10 +225,11 @@ class Pseudonyms:
         parsed = parse_date(text)
         if parsed is None or not 0 <= parsed[0].toordinal() - FIRST_DAY < DAYS:
             return None
-        shown = lambda n: datetime.date.fromordinal(FIRST_DAY + n).strftime(parsed[1])
-        # The order of day and month must be read from the new date as from the old one.
-        day = self._until(parsed[0].toordinal() - FIRST_DAY, lambda n: self.permute(n, DAYS, "date", back), lambda n: parse_date(shown(n))[1] == parsed[1])
-        return shown(day)
+        # Days after the 12th, which alone can stand behind a month, go to such days and others to others: a day has one pseudonym in all formats.
+        day = lambda n: datetime.date.fromordinal(FIRST_DAY + n)
+        late = parsed[0].day > 12
+        new = self._until(parsed[0].toordinal() - FIRST_DAY, lambda n: self.permute(n, DAYS, "date", back), lambda n: (day(n).day > 12) == late)
+        return day(new).strftime(parsed[1])
 
     def card(self, text: str, back: bool = False) -> str | None:
         digits = [x for x in text if x.isdigit()]
@@ -277,7 +288,10 @@ def pseudonymise(docs: DataFrame, key: bytes, counts: bool = True, back: bool =
     E-mail addresses, IBANs (mod 97), hex secrets, keys with a known beginning, IPv4 (octets) and IPv6 addresses, telephone numbers,
     social security numbers, dates (1900 to 2099, by the calendar; year, month, day or day, month, year, or month, day, year where only
     that is a date) and payment cards (Luhn) are found, however long they are. What looks like one but isn't valid stays. Telephone numbers,
-    cards and dates are linked across their formats; an IPv6 address comes out in the short form. Null texts stay null and empty ones empty, with counts
+    cards, dates and IPv6 addresses are linked across their formats, e-mail addresses whatever their case; an IPv6 address comes out in the short form, and
+    whether a day is after the 12th stays as it is. Letters of addresses are Latin, Greek and Cyrillic ones (`SCRIPTS`); others end an address, and letters without one capital (ß), the
+    top domain and all signs stay. Not found: IBANs in small letters, dates without leading zeros, IPv6 addresses that begin or end with ::, numbers
+    with four parts after a v (versions). Null texts stay null and empty ones empty, with counts
     of 0; equal rows come out alike; every row and other column is kept; whole texts are searched; an empty table gives an empty one. A column of `docs`
     that has the name of a count is kept and the count gets underscores before its name. `back` undoes the replacement.
     """

@@ -7,6 +7,8 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from fixtures import empty, table
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from spanlake.llm import ann, jaccard_join, line_dedup, near_vectors, passages
@@ -270,6 +272,144 @@ def test_passages_within_the_limits_are_found(spark):
     assert min(recall.values()) >= 0.95 and got <= set().union(*want.values()), recall
 
 
+def lcs(x, y):
+    row = [0] * (len(y) + 1)
+    for a in x:
+        left = 0
+        for j, b in enumerate(y, 1):
+            left, row[j] = row[j], left + 1 if a == b else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def edited(rng, base, share, draw):
+    """The words with a share of them replaced, deleted or followed by a new one, in equal parts."""
+    out = []
+    for w in base:
+        kind = rng.random() / share
+        out += [w] if kind >= 1 else draw(1) if kind < 1 / 3 else [] if kind < 2 / 3 else [w, *draw(1)]
+    return out
+
+
+def test_passages_with_words_inserted_and_deleted_are_found(spark):
+    rng = random.Random(21)
+    draw = lambda n: [f"w{rng.randrange(20_000)}" for _ in range(n)]
+    rows, want = [], defaultdict(dict)
+    for size, share in ((55, 0.08), (60, 0.12), (90, 0.12)):
+        while len(want[size, share]) < 100:
+            base = draw(size)
+            copy = edited(rng, base, share, draw)
+            same = lcs(base, copy)
+            if same >= 40 and same >= 0.8 * max(len(base), len(copy)):
+                n = len(rows)
+                rows += [(n, " ".join(draw(70) + base + draw(70))), (n + 1, " ".join(draw(90) + copy + draw(50)))]
+                want[size, share][n + 1, n] = same
+    got = defaultdict(int)
+    for r in passages.repeated_passages(table(spark, rows)).collect():
+        got[r.doc_id, r.source_id] = max(got[r.doc_id, r.source_id], r.words)
+    recall = {case: sum(p in got for p in pairs) / 100 for case, pairs in want.items()}
+    told = {case: sum(got.get(p, 0) for p in pairs) / sum(pairs.values()) for case, pairs in want.items()}
+    print(recall, told)
+    assert min(recall.values()) >= 0.95 and min(told.values()) >= 0.93, (recall, told)
+    assert set(got) <= {p for pairs in want.values() for p in pairs}
+
+
+def local(x, y):
+    """The best local alignment (equal 1, else -2): equal words and the longer side."""
+    best, above = (0, 0, 0), [(0, 0, 0, 0)] * (len(y) + 1)
+    for a in x:
+        row = [(0, 0, 0, 0)]
+        for j, b in enumerate(y, 1):
+            s, n, u, v = above[j - 1]
+            options = [(0, 0, 0, 0), (s + 1, n + 1, u + 1, v + 1) if a == b else (s - 2, n, u + 1, v + 1)]
+            s, n, u, v = above[j]
+            options.append((s - 2, n, u + 1, v))
+            s, n, u, v = row[j - 1]
+            options.append((s - 2, n, u, v + 1))
+            row.append(max(options))
+            best = max(best, (row[-1][0], row[-1][1], max(row[-1][2:])))
+        above = row
+    return best[1:]
+
+
+def test_passages_of_sixty_documents_against_an_aligner_of_all_pairs(spark):
+    """Every pair with a clear passage is found, and what is told of each passage holds between its ends."""
+    rng = random.Random(33)
+    draw = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
+    bases = [draw(rng.randint(60, 130)) for _ in range(4)]
+    rows = []
+    for n in range(60):
+        text = draw(rng.randint(10, 60))
+        for _ in range(rng.choice((0, 1, 1, 2))):
+            base = rng.choice(bases)
+            cut = rng.randrange(len(base) // 3)
+            text += edited(rng, base[cut : cut + rng.randint(30, 130)], rng.choice((0.001, 0.05, 0.1)), draw) + draw(rng.randint(5, 40))
+        rows.append((n, " ".join(text + draw(3) * rng.choice((1, 1, 12)))))
+    words = [text.split() for _, text in rows]
+    found = passages.repeated_passages(table(spark, rows)).collect()
+    for r in found:
+        a, b = words[r.doc_id][r.start : r.end], words[r.source_id][r.source_start : r.source_end]
+        assert 40 <= r.words <= lcs(a, b) and r.identity == r.words / max(len(a), len(b)) >= 0.8
+    reached = defaultdict(set)  # a passage of many documents is linked to two of them, the others by these
+    for r in found:
+        reached[r.doc_id].add(r.source_id)
+    clear = set()
+    for i in range(60):
+        for j in range(i):
+            n, size = local(words[i], words[j])
+            if n >= 44 and n >= 0.85 * size:
+                clear.add(i)
+    assert clear and clear - set(reached) == set(), clear - set(reached)
+
+
+def test_two_passages_with_much_between_them_are_both_found(spark):
+    rng = random.Random(4)
+    draw = lambda n: [f"w{rng.randrange(20_000)}" for _ in range(n)]
+    one, two = draw(200), draw(200)
+    rows = [(i, " ".join(draw(30) + one + draw(900) + two + draw(30))) for i in range(2)]
+    got = [(r.start, r.end, r.source_start, r.words) for r in passages.repeated_passages(table(spark, rows)).orderBy("start").collect()]
+    assert got == [(30, 230, 30, 200), (1130, 1330, 1130, 200)]
+
+
+def chains_on(words, src_words, chains, k):
+    """The two sides of one pair as they are fetched for these chains (lists of places)."""
+    sides = []
+    for text, which in ((words, 0), (src_words, 1)):
+        counts = np.array([len(c) for c in chains])
+        at = np.array([p[which] for c in chains for p in c])
+        ask, lo, hi = passages.stretches(np.array([0]), np.array([len(text)]), at, np.array([len(at)]), counts, np.array([len(counts)]), k)
+        known = np.concatenate([text[a:b] for a, b in zip(lo, hi)]).astype(np.uint32)
+        sides.append((at, passages.Side(np.zeros(len(lo), int), lo, hi - lo, np.cumsum(hi - lo) - (hi - lo), known)))
+    return counts, *sides
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 5), max_size=70), st.lists(st.integers(0, 5), max_size=70))
+def test_common_is_the_longest_common_subsequence(x, y):
+    assert passages.common(np.array(x, np.uint32), np.array(y, np.uint32)) == lcs(x, y)
+
+
+def test_ends_are_those_of_the_best_banded_alignment():
+    rng = random.Random(6)
+    draw = lambda n: [rng.randrange(50) for _ in range(n)]
+    for _ in range(40):
+        base = draw(rng.randint(0, 90))
+        words, other = draw(10) + list(range(100, 106)) + base, draw(30) + list(range(100, 106)) + edited(rng, base, 0.1, draw)
+        counts, (at, own), (src_at, src) = chains_on(np.array(words), np.array(other), [[(10, 30)]], 6)
+        x, y = own.flank(np.array([0]), at + 6, 1, -1), src.flank(np.array([0]), src_at + 6, 1, -2)
+        score, equal, i, j = (f[0] for f in passages.ends_of(x, y))
+        a, b = words[16 : 16 + passages.FLANK], other[36 : 36 + passages.FLANK]
+        cells = {(0, 0): 0}
+        for u in range(len(a) + 1):
+            for v in range(max(0, u - passages.BAND), min(len(b), u + passages.BAND) + 1):
+                if u or v:
+                    from_ = [cells[p] - passages.EDIT for p in ((u - 1, v), (u, v - 1)) if p in cells]
+                    if (u - 1, v - 1) in cells:
+                        from_.append(cells[u - 1, v - 1] + (1 if a[u - 1] == b[v - 1] else -passages.EDIT))
+                    cells[u, v] = max(from_)
+        assert score.max() == max(cells.values()) and cells[i[score.argmax()], j[score.argmax()]] == score.max()
+        assert (equal <= np.minimum(i, j)).all() and (passages.most_common(x, y)[0] >= equal).all()
+
+
 def test_passages_of_one_repeated_word_are_covered_by_few_rows(spark):
     got = passages.repeated_passages(table(spark, [(1, "a " * 200), (2, "a " * 900)])).collect()
     assert 900 - sum(r.end - r.start for r in got) < 0 < len(got) < 30

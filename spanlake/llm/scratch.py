@@ -40,11 +40,11 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/spanlake/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """The rows of df, written as Parquet in the shared folder and read again: lineage ends here,
-    so a lost executor costs a read of these files and not the work before them."""
+    so a lost executor costs a read of these files and not the work before them. codec: how they are compressed, if not as the session says."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out

@@ -457,6 +457,44 @@ def test_seeds_link_to_their_first_place_and_the_document_before(spark, parts):
     assert sorted(got) == sorted(want)
 
 
+def test_all_documents_that_share_a_passage_are_linked_with_each_other(spark):
+    rng = random.Random(17)
+    draw = lambda n: [f"w{rng.randrange(20_000)}" for _ in range(n)]
+    passage, rows = draw(80), []
+    for n in range(14):
+        own = list(passage)
+        own[rng.randrange(80)] = draw(1)[0]
+        rows.append((n, " ".join(draw(70) + own + draw(70))))
+    got = {(r.doc_id, r.source_id) for r in passages.repeated_passages(table(spark, rows)).collect()}
+    assert got == {(i, j) for i in range(14) for j in range(i)}
+
+
+def test_a_passage_of_common_lines_is_found_by_pairs_of_their_seeds(spark, monkeypatch):
+    monkeypatch.setattr(passages, "MOST", 6)
+    rng = random.Random(18)
+    draw = lambda n: [f"w{rng.randrange(20_000)}" for _ in range(n)]
+    one, two = draw(22), draw(25)
+    rows = [(n, " ".join(draw(70) + (one, two)[n % 2] + draw(70))) for n in range(60) if n not in (21, 44)]
+    rows += [(n, " ".join(draw(70) + one + draw(4) + two + draw(70))) for n in (21, 44)]
+    got = {(r.doc_id, r.source_id, r.words) for r in passages.repeated_passages(table(spark, rows)).collect()}
+    assert got == {(44, 21, 47)}
+
+
+def test_links_of_seeds_in_few_and_in_many_places(spark, monkeypatch):
+    monkeypatch.setattr(passages, "MOST", 40)
+    rng = random.Random(19)
+    rows = [(seed, doc, 200 * seed + i) for seed in range(30) for i, doc in enumerate(rng.choices(range(9), k=rng.choice((2, 3, 12, 30))))]
+    held = defaultdict(lambda: defaultdict(list))
+    for seed, doc, at in rows:
+        held[seed][doc].append(at)
+    want = {(doc, src, at, min(docs[src])) for docs in held.values() for doc in docs for src in docs if src < doc for at in docs[doc]}
+    rows += [(99, doc, 90_000) for doc in range(80)]
+    want |= {(doc, src, 90_000, 90_000) for doc in range(80) for src in (0, doc - 1) if 0 <= src < doc}
+    links, _ = passages.all_links_of(spark.createDataFrame(rows, "seed long, doc long, at int"), 3)
+    got = [tuple(r) for r in links.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 @pytest.mark.parametrize("period", [1, 2, 7, 20, 23])
 def test_a_text_that_repeats_itself_is_covered_whole(spark, period):
     rng = random.Random(period)

@@ -480,6 +480,18 @@ def test_a_passage_of_common_lines_is_found_by_pairs_of_their_seeds(spark, monke
     assert got == {(44, 21, 47)}
 
 
+def test_copies_of_a_text_are_joined_to_the_first_and_do_not_crowd_out_others(spark, monkeypatch):
+    monkeypatch.setattr(passages, "MOST", 6)
+    rng = random.Random(20)
+    draw = lambda n: [f"w{rng.randrange(20_000)}" for _ in range(n)]
+    passage = draw(60)
+    copy = " ".join(draw(30) + passage + draw(30))
+    rows = [(n, copy) for n in range(10, 30)] + [(n, " ".join(draw(40) + passage + draw(40))) for n in (5, 15_000, 25_000, 26_000)] + [(90, "a b"), (91, "a b")]
+    got = sorted((r.doc_id, r.source_id, r.words) for r in passages.repeated_passages(table(spark, rows)).collect())
+    apart = [5, 10, 15_000, 25_000, 26_000]
+    assert got == sorted([(n, 10, 120) for n in range(11, 30)] + [(i, j, 60) for i in apart for j in apart if j < i])
+
+
 def test_links_of_seeds_in_few_and_in_many_places(spark, monkeypatch):
     monkeypatch.setattr(passages, "MOST", 40)
     rng = random.Random(19)

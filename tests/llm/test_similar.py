@@ -469,6 +469,27 @@ def test_all_documents_that_share_a_passage_are_linked_with_each_other(spark):
     assert got == {(i, j) for i in range(14) for j in range(i)}
 
 
+def test_a_text_sends_its_words_to_few_cells_and_not_to_each_pair(spark, monkeypatch):
+    rng = random.Random(22)
+    draw = lambda n: [f"w{rng.randrange(20_000)}" for _ in range(n)]
+    passage, rows, sent = draw(80), [], []
+    for n in range(40):
+        own = list(passage)
+        own[rng.randrange(80)] = draw(1)[0]
+        rows.append((n, " ".join(draw(70) + own + draw(70))))
+    frame = type(spark.range(0))
+
+    def told(df, f, schema, *more, keep=frame.mapInArrow):
+        out = keep(df, f, schema, *more)
+        if schema == passages.CUT_SCHEMA:
+            sent.append(out.agg(F.sum(F.length("words"))).first()[0])
+        return out
+
+    monkeypatch.setattr(frame, "mapInArrow", told)
+    assert len({(r.doc_id, r.source_id) for r in passages.repeated_passages(table(spark, rows)).collect()}) == 780
+    assert sent[0] <= 12 * 4 * 40 * 220, sent  # once for each pair would be up to 39 times
+
+
 def test_a_passage_of_common_lines_is_found_by_pairs_of_their_seeds(spark, monkeypatch):
     monkeypatch.setattr(passages, "MOST", 6)
     rng = random.Random(18)

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from spanlake.llm import ann, jaccard_join, line_dedup, near_vectors, passages
+from spanlake.llm import ann, jaccard_join, line_dedup, near_vectors, passages, queries
 from spanlake.llm.components import components
 from spanlake.llm.idfilter import likely_in
 
@@ -490,6 +490,71 @@ def test_a_text_sends_its_words_to_few_cells_and_not_to_each_pair(spark, monkeyp
     assert sent[0] <= 12 * 4 * 40 * 220, sent  # once for each pair would be up to 39 times
 
 
+def test_a_passage_of_many_documents_is_one_class_with_few_rows(spark, tmp_path):
+    rng = random.Random(23)
+    draw = lambda n: [f"w{rng.randrange(20_000)}" for _ in range(n)]
+    rows = []
+    for size in (20, 40):  # two families, in turn
+        passage = draw(80)
+        for _ in range(size):
+            own = list(passage)
+            own[rng.randrange(80)] = draw(1)[0]
+            rows.append(" ".join(draw(70) + own + draw(70)))
+    rows = [(2 * n if n < 20 else 2 * n - 39, text) for n, text in enumerate(rows)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op3_passages(spark, str(tmp_path)).collect()
+    assert {(r.doc_id % 2 if r.doc_id < 40 else 1, r.class_id) for r in got} == {(0, 0), (1, 1)}
+    assert {r.doc_id for r in got} == {n for n, _ in rows} - {0, 1}
+    assert len(got) <= 6 * len(rows), len(got)  # 190 + 780 pairs
+
+
+def test_places_in_different_classes_are_compared_all_with_all(spark):
+    """Two documents share a line with many others, and with each other alone the words after it, which keep no run of 6."""
+    rng = random.Random(24)
+    draw = lambda n: [f"w{rng.randrange(20_000)}" for _ in range(n)]
+    line, after = draw(22), draw(60)
+    rows = []
+    for n in range(40):
+        tail = [w if i % 6 != 2 else draw(1)[0] for i, w in enumerate(after)] if n in (10, 30) else draw(60)
+        rows.append((n, " ".join(draw(70) + line + tail + draw(70))))
+    got = [(r.doc_id, r.source_id, r.class_id) for r in passages.passage_classes(table(spark, rows)).collect()]
+    assert got == [(30, 10, 10)]
+
+
+@pytest.mark.parametrize("most", [64, 6])
+def test_classes_are_those_of_all_pairs(spark, monkeypatch, most):
+    rng = random.Random(25)
+    draw = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
+    bases = [draw(rng.randint(60, 130)) for _ in range(5)]
+    rows = []
+    for n in range(60):
+        text = draw(rng.randint(10, 60))
+        for base in rng.sample(bases, rng.choice((0, 1, 1, 2))):
+            text += edited(rng, base, rng.choice((0.001, 0.05, 0.1)), draw) + draw(rng.randint(70, 90))
+        rows.append((n, " ".join(text)))
+    rows += [(70, rows[5][1]), (71, "")]
+    pairs = passages.repeated_passages(table(spark, rows)).collect()  # all with all
+    monkeypatch.setattr(passages, "MOST", most)
+    got = passages.passage_classes(table(spark, rows)).collect()
+    classes = defaultdict(list)
+    for r in got:
+        if r.class_id is not None:
+            classes[r.doc_id].append((r.start, r.end, (r.class_id, r.class_start)))
+            classes[r.source_id].append((r.source_start, r.source_end, (r.class_id, r.class_start)))
+    of = lambda doc, at: {c for start, end, c in classes[doc] if start <= at < end}
+    for r in pairs:
+        if r.doc_id != 70:
+            assert of(r.doc_id, (r.start + r.end) // 2) & of(r.source_id, (r.source_start + r.source_end) // 2), r
+    assert len({c for held in classes.values() for *_, c in held}) == 5 and len(got) < len(pairs)
+    assert [(r.source_id, r.class_id) for r in got if r.doc_id == 70] == [(r.source_id, None) for r in pairs if r.doc_id == 70]
+
+
+def test_classes_on_awkward_rows(spark):
+    got = passages.passage_classes(table(spark, clash=True))
+    assert {(r.doc_id, r.source_id) for r in got.collect()} >= {(2, 1), (3, 1), (13, 1), (11, 10)}
+    assert passages.passage_classes(empty(spark)).count() == 0
+
+
 def test_a_passage_of_common_lines_is_found_by_pairs_of_their_seeds(spark, monkeypatch):
     monkeypatch.setattr(passages, "MOST", 6)
     rng = random.Random(18)

@@ -36,16 +36,16 @@ def gaps(rows: DataFrame, by: list[str], order: str, more_than: int, carry: list
     return rows.withColumns(lagged).where(F.col(order) - F.col(f"prev_{order}") > more_than)
 
 
-def held_time(order: str, by: list[str]) -> Column:
-    """How long each row held until the next, 0 for the last."""
-    return F.coalesce(F.lead(order).over(ordered(by, order)) - F.col(order), F.lit(0))
+def held_time(order: str, by: list[str], *ties: str) -> Column:
+    """How long each row held until the next, 0 for the last; rows that tie in order go by `ties`."""
+    return F.coalesce(F.lead(order).over(ordered(by, order, *ties)) - F.col(order), F.lit(0))
 
 
-def islands_by_flag(rows: DataFrame, flag: str, by: list[str], order: str, out: str) -> DataFrame:
-    """Rows with the flag, numbered by runs of it: a run begins where the row before lacks it."""
-    before = F.lag(flag).over(ordered(by, order))
+def islands_by_flag(rows: DataFrame, flag: str, by: list[str], order: str, out: str, *ties: str) -> DataFrame:
+    """Rows with the flag, numbered by runs of it: a run begins where the row before lacks it. Rows that tie in order go by `ties`."""
+    before = F.lag(flag).over(ordered(by, order, *ties))
     edged = rows.withColumn("__opens", F.col(flag) & ~F.coalesce(before, F.lit(False)))
-    return edged.withColumn(out, running_count(F.col("__opens"), by, order)).where(F.col(flag)).drop("__opens")
+    return edged.withColumn(out, running_count(F.col("__opens"), by, order, *ties)).where(F.col(flag)).drop("__opens")
 
 
 def islands_by_value(rows: DataFrame, value: str, by: list[str], order: str, out: str) -> DataFrame:
@@ -63,10 +63,10 @@ def gap_groups(rows: DataFrame, by: list[str], order: str, gap: int, out: str) -
     return rows.withColumn("__opens", opens).withColumn(out, running_count(F.col("__opens"), by, order)).drop("__opens")
 
 
-def with_next(rows: DataFrame, value: str, by: list[str], order: str, out: str) -> DataFrame:
+def with_next(rows: DataFrame, value: str, by: list[str], order: str, out: str, *ties: str) -> DataFrame:
     """Each row with the value of the row after it: what follows a bound is read off the bound's last row, without a
-    range join. Right where `order` is unique within `by`."""
-    return rows.withColumn(out, F.lead(value).over(ordered(by, order)))
+    range join. Right where `order` and `ties` are unique within `by`."""
+    return rows.withColumn(out, F.lead(value).over(ordered(by, order, *ties)))
 
 
 def bands(rows: DataFrame, kind: str, by: list[str], order: str, reach: int, out: str) -> DataFrame:

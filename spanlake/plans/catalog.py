@@ -59,8 +59,8 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     by = ["user_id"]
     rows = log(spark, sf_dir).withColumn("in_run", F.col("event_type").isin(*RUN_TYPES))
-    rows = windows.with_next(rows, "event_type", by, "srv", "next_type").withColumn("held_ms", windows.held_time("srv", by))
-    return windows.islands_by_flag(rows, "in_run", by, "srv", "run_seq")
+    rows = windows.with_next(rows, "event_type", by, "srv", "next_type", "event_id").withColumn("held_ms", windows.held_time("srv", by, "event_id"))
+    return windows.islands_by_flag(rows, "in_run", by, "srv", "run_seq", "event_id")
 
 
 # windows
@@ -194,8 +194,8 @@ def dim_history(spark, sf_dir):
 SELECT b.user_id AS run_user, CAST(b.run_seq AS INTEGER) AS run_seq, count(*) AS n, count(DISTINCT l.user_id) AS users FROM log l JOIN b ON l.session_id = b.session_id AND l.srv BETWEEN b.s0 - {QUARTER} AND b.s1 + {QUARTER} GROUP BY ALL""")
 def interval_events(spark, sf_dir):
     bounds = run_rows(spark, sf_dir).where("event_type = 'error'").groupBy(F.col("user_id").alias("run_user"), "run_seq", "session_id").agg(F.min("srv").alias("s0"), F.max("srv").alias("s1"))
-    found = joins.within_dyadic(log(spark, sf_dir), bounds, ["session_id"], "srv", "s0", "s1", QUARTER, grain=20)
-    return found.groupBy("run_user", "run_seq").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"))
+    found = joins.counted_within(log(spark, sf_dir), bounds, ["session_id"], "srv", "user_id", "s0", "s1", QUARTER)
+    return found.select("run_user", "run_seq", "n", F.col("members").alias("users"))  # a user has one session
 
 
 # contract

@@ -233,3 +233,35 @@ def test_no_payload_is_over_the_limit(spark):
     made = export.payloads(rows, "events", 120).orderBy("batch").collect()
     assert all(len(p["payload"].encode()) <= 120 or p["records"] == 1 for p in made)
     assert [r["id"] for p in made for r in json.loads(p["payload"])] == list(range(200))
+
+
+@pytest.mark.parametrize("block", [5, 40, 10_000])
+@pytest.mark.parametrize("slack", [0, 7])
+def test_counts_within_intervals_equal_brute_force(spark, block, slack):
+    from spanlake.operators import joins
+
+    rng = random.Random(block)
+    points = [(rng.choice([None, "a", *["hot"] * 6]), None if rng.random() < 0.02 else rng.randrange(-300, 900), None if rng.random() < 0.05 else rng.randrange(12)) for _ in range(700)]
+    spans = [(i, rng.choice([None, "a", "none", *["hot"] * 6]), s := rng.randrange(-300, 900), None if rng.random() < 0.02 else s + rng.choice([-9, -1, 0, 3, 40, 700])) for i in range(300)]
+    p = spark.createDataFrame(points, "k string, t long, m long").repartition(5)
+    i = spark.createDataFrame(spans, "id long, k string, s long, e long").repartition(3)
+    found = joins.counted_within(p, i, ["k"], "t", "m", "s", "e", slack, block)
+    assert found.columns == ["id", "k", "s", "e", "n", "members"]
+    want = set()
+    for id_, k, s, e in spans:
+        inside = [m for pk, t, m in points if None not in (k, t, e) and pk == k and s - slack <= t <= e + slack]
+        if inside:
+            want.add((id_, len(inside), len({m for m in inside if m is not None})))
+    got = [(r["id"], r["n"], r["members"]) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert joins.counted_within(p, i.limit(0), ["k"], "t", "m", "s", "e").count() == joins.counted_within(p.limit(0), i, ["k"], "t", "m", "s", "e").count() == 0
+
+
+def test_counts_within_intervals_make_no_pairs(spark):
+    """20,000 points in each of 20,000 intervals: 400 million pairs, told by counts; the plans hold no row for a pair."""
+    from spanlake.operators import joins
+
+    p = spark.range(20_000).select(F.lit(1).alias("k"), F.col("id").alias("t"), (F.col("id") % 100).alias("m"))
+    i = spark.range(20_000).select("id", F.lit(1).alias("k"), F.lit(0).alias("s"), F.lit(19_999).alias("e"))
+    found = joins.counted_within(p, i, ["k"], "t", "m", "s", "e", block=4096).groupBy("n", "members").count().collect()
+    assert [tuple(r) for r in found] == [(20_000, 100, 20_000)]

@@ -14,17 +14,21 @@ from spanlake.llm.shingles import mixed
 BITS, PART_BITS = 24, 18
 
 
-def _places(ids: pa.Array) -> np.ndarray:
-    return (mixed(ids.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) >> np.uint64(64 - BITS)).astype(np.int64)
+def _places(ids: pa.Array, bits: int) -> np.ndarray:
+    return (mixed(ids.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = np.zeros(1 << BITS, bool)
-    for batch in batches:
-        held[_places(batch.column(0))] = True
-    parts = held.reshape(-1, 1 << PART_BITS)
-    for i in np.flatnonzero(parts.any(axis=1)).tolist():
-        yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([zlib.compress(np.packbits(parts[i]).tobytes(), 1)], pa.binary())], ["part", "bits"])
+def _marked(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(1 << bits - 3, np.uint8)
+        for batch in batches:
+            at = _places(batch.column(0), bits)
+            np.bitwise_or.at(held, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+        parts = held.reshape(-1, 1 << PART_BITS - 3)
+        for i in np.flatnonzero(parts.any(axis=1)).tolist():
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([zlib.compress(parts[i].tobytes(), 1)], pa.binary())], ["part", "bits"])
+
+    return run
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -37,20 +41,21 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([zlib.compress(bits.tobytes(), 1)], pa.binary())], ["part", "bits"])
 
 
-def id_filter(ids: DataFrame) -> np.ndarray:
-    """The filter of the one column of `ids`: 2 ** BITS flags whatever their number. With more ids it lets more of the
+def id_filter(ids: DataFrame, bits: int = BITS) -> np.ndarray:
+    """The filter of the one column of `ids`: 2 ** bits flags whatever their number, eight a byte. With more ids it lets more of the
     others through, and the join that follows stays right."""
-    merged = ids.mapInArrow(_marked, "part int, bits binary").repartition(16, "part").mapInArrow(_merged, "part int, bits binary")
-    held = np.zeros((1 << BITS - PART_BITS, 1 << PART_BITS), bool)
-    for r in merged.collect():  # at most 64 rows of 32 kB
-        held[r["part"]] = np.unpackbits(np.frombuffer(zlib.decompress(r["bits"]), np.uint8)).astype(bool)
+    merged = ids.mapInArrow(_marked(bits), "part int, bits binary").repartition(16, "part").mapInArrow(_merged, "part int, bits binary")
+    held = np.zeros((1 << bits - PART_BITS, 1 << PART_BITS - 3), np.uint8)
+    for r in merged.collect():  # rows of 32 kB, 2 MB with BITS
+        held[r["part"]] = np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
     return held.ravel()
 
 
 def may_be_in(held: np.ndarray, column: pa.Array) -> np.ndarray:
     """Which ids of an Arrow column may be among those of the filter; none that is gets lost."""
     known = column.is_valid().to_numpy(zero_copy_only=False)
-    return held[_places(column.fill_null(0))] & known
+    at = _places(column.fill_null(0), len(held).bit_length() + 2)
+    return (held[at >> 3] >> (at & 7) & 1).astype(bool) & known
 
 
 def likely_in(rows: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:

@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import empty, table
 from hypothesis import given, settings
@@ -103,6 +104,49 @@ def test_jaccard_with_families_and_common_passages(spark, monkeypatch, common, b
         assert got == brute_jaccard(rows, k, percent)
 
 
+def test_parities_lose_no_link():
+    rng = np.random.default_rng(5)
+    for percent in (50, 80, 90):
+        for _ in range(300):
+            core = rng.integers(0, 1 << 63, int(rng.choice([3, 60, 66, 130, 700, 20_000 if percent == 90 else 90]))).astype(np.uint64)
+            x = np.unique(np.concatenate([core, rng.integers(0, 1 << 63, rng.integers(0, len(core) // 2 + 2)).astype(np.uint64)]))
+            y = np.unique(core[: rng.integers(len(core) // 2, len(core) + 1)])
+            if 100 * len(np.intersect1d(x, y)) < percent * len(np.union1d(x, y)):
+                continue
+            bits = pa.array([jaccard_join.parity(x), jaccard_join.parity(y)], pa.binary())
+            least = min(len(b.as_py()) for b in bits) // 8
+            a, b = (jaccard_join._folded(bits, np.array([i]), least) for i in (0, 1))
+            assert jaccard_join.may_link(np.array([len(x)]), np.array([len(y)]), np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64), percent)[0]
+
+
+def test_jaccard_candidates_dont_join_by_chance(spark, monkeypatch):
+    """Texts of few different words share shingles of their prefixes by chance, which joined nearly all of them in one group to be compared whole."""
+    sizes, true = [], jaccard_join.id_filter
+    monkeypatch.setattr(jaccard_join, "id_filter", lambda ids, *bits: (sizes.append(ids.count()) if ids.columns == ["id"] else None, true(ids, *bits))[1])
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice("abcdefghijkl") for _ in range(150))) for i in range(1000)]
+    rows += [(1000 + i, rows[i][1] + " z") for i in range(40)]
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(table(spark, rows), 3, 90).collect()}
+    assert sizes == [80]
+    assert got == {i: i - 1000 if i >= 1000 else i for i in range(1040)}
+
+
+@pytest.mark.parametrize("crowded, docs", [(8, 1024), (4096, 3)])
+def test_jaccard_of_common_shingles_in_blocks(spark, monkeypatch, crowded, docs):
+    for name, value in (("COMMON", 2), ("CROWDED", crowded), ("PARITY_DOCS", docs)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    rng = random.Random(11)
+    bases = [[f"w{rng.randrange(4000)}" for _ in range(70)] for _ in range(4)]
+    rows = []
+    for i in range(90):
+        text = list(bases[i % 4])
+        for _ in range(rng.randrange(0, 3)):
+            text[rng.randrange(70)] = f"v{rng.randrange(500)}"
+        rows.append((i, " ".join(text)))
+    for k, percent in ((3, 90), (5, 80)):
+        assert sorted(tuple(r) for r in jaccard_join.jaccard_components(table(spark, rows), k, percent).collect()) == brute_jaccard(rows, k, percent)
+
+
 def test_one_of_each_keeps_the_smallest_and_all_columns(spark):
     docs = table(spark, clash=True)
     kept = jaccard_join.one_of_each(docs)

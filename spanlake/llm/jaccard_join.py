@@ -333,8 +333,13 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
     Rows with null or empty text, or a null doc_id, are components of their own and stay. All columns are kept.
     """
-    first = jaccard_components(docs, k, percent).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(first, docs["doc_id"] == first["kept_id"], "left_semi").unionByName(docs.where(F.col("doc_id").isNull()))
+    found = jaccard_components(docs, k, percent).where(F.col("doc_id").isNotNull())
+    gone = written(found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("kept")).where("NOT kept").select(F.col("doc_id").alias("gone_id")), "gone")
+    # Only rows that the filter does not clear are shuffled, so the texts that stay mostly don't move.
+    held = docs.sparkSession.sparkContext.broadcast(id_filter(gone))
+    may_go = F.arrow_udf(lambda ids: pa.array(may_be_in(held.value, ids)), "boolean")(docs["doc_id"].cast("long"))
+    doubtful = docs.where(may_go)
+    return docs.where(~may_go).unionByName(doubtful.join(gone, doubtful["doc_id"].cast("long") == gone["gone_id"], "left_anti"))
 
 
 #: All pairs that share a shingle, and components by recursion: for small tables.

@@ -156,6 +156,14 @@ def test_one_of_each_keeps_the_smallest_and_all_columns(spark):
     assert jaccard_join.one_of_each(empty(spark)).count() == 0
 
 
+def test_one_of_each_moves_few_texts(spark):
+    """Texts that stay are not shuffled: the one exchange of texts is that of those which may go, below the filter of ids."""
+    kept = jaccard_join.one_of_each(table(spark))
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    before, after = plan.split("Join LeftAnti")
+    assert "Union" in before and "text" in after and "ArrowEvalPython" in before and "ArrowEvalPython" in after and "LeftSemi" not in plan
+
+
 def test_overlap_bound():
     assert [jaccard_join.least_overlap(n, 90) for n in (1, 9, 10, 11, 100)] == [1, 9, 9, 10, 90]
 
